@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarkaloom.llm import q_concepts, q_languages, q_leaks, q_lines
+from tarkaloom.llm import q_concepts, q_languages, q_leaks, q_lines, q_truncation
 
-_MODULES = (q_lines, q_leaks, q_concepts, q_languages)
+_MODULES = (q_lines, q_leaks, q_concepts, q_languages, q_truncation)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
