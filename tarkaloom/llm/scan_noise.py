@@ -75,7 +75,7 @@ class Page:
         return got
 
     def is_header(self, line: str, title: str | None) -> bool:
-        """A title, in title case or capitals, with or without the page number."""
+        """A title in capitals, or in title case beside a page number."""
         body = _EDGE_NUMBER.sub("", line.strip())
         words = _TOKEN.findall(body)
         if not 2 <= len(words) <= 12 or regex.search(r"[.?!।;:|>*,]", body):
@@ -83,7 +83,10 @@ class Page:
         letters = [c for c in body if c.isalpha()]
         upper = sum(c.isupper() for c in letters) / max(len(letters), 1)
         titled = all(w[0].isupper() or not w[0].isalpha() or len(w) < 4 or w.lower() in _SMALL for w in words) and (words[0][0].isupper() or words[0][0].isdigit())
-        if not (upper > 0.7 or titled):
+        # a heading in title case alone is no running header: that has the page number
+        # beside it or stands in capitals
+        numbered = body != line.strip() and bool(regex.search(r"\d", line))
+        if not (upper > 0.7 or titled and (numbered or regex.search(r"\s[ivxlc]+$|^[ivxlc]+\s", line.strip()))):
             return False
         if title and difflib.SequenceMatcher(None, _folded(body), _folded(title), autojunk=False).ratio() >= 0.8:
             return True
@@ -91,12 +94,20 @@ class Page:
 
     @staticmethod
     def is_wrapped(lines: list[str]) -> bool:
-        """Do lines break inside sentences, at about one width?"""
-        long = [x for x in lines if len(x) >= 20]
-        if len(long) < 3:
+        """Do sentences go on from line to line, at about one width?"""
+        lines = [x for x in lines if x]
+        on = []
+        for x, y in zip(lines, lines[1:], strict=False):
+            first = unicodedata.category(y[0])
+            if len(x) >= 20 and not _ENDS.search(x) and (first in ("Ll", "Lo") or y[0] in "0156"):
+                on.append(len(x))
+        long = sum(len(x) >= 20 for x in lines)
+        if len(on) < 2 or len(on) < 0.3 * (long - 1):
             return False
-        inner = sum(not _ENDS.search(x) for x in long[:-1])
-        return inner >= 2 and inner >= 0.45 * (len(long) - 1) and sorted(map(len, long))[len(long) // 2] <= 110
+        on.sort()
+        mid = on[len(on) // 2]
+        near = sum(0.75 * mid <= n <= 1.3 * mid for n in on)
+        return mid <= 110 and near >= 0.8 * len(on)
 
     def kinds(self, text: str, title: str | None) -> tuple[bool, list[str]]:
         """Is it a scan, and per line: text, header, pageno, verse, blank or other."""
