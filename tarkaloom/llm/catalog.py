@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarkaloom.llm import q_concepts, q_languages, q_leaks, q_lines, q_scans, q_truncation
+from tarkaloom.llm import q_concepts, q_languages, q_leaks, q_lines, q_mixing, q_scans, q_truncation
 
-_MODULES = (q_lines, q_leaks, q_concepts, q_languages, q_truncation, q_scans)
+_MODULES = (q_lines, q_leaks, q_concepts, q_languages, q_truncation, q_scans, q_mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -34,7 +34,8 @@ from tarkaloom.plans.session import stage
 
 TITLE_SHARE = 0.002
 RATIO, LEAST_COUNT, AGREE = 5, 4, 0.02
-WINDOW = 2
+# documents whose tokens a Python worker holds at once
+SLICE = 256
 
 # Glyphs as misread, and what stood on the page (lower case).
 GLYPHS = (
@@ -177,7 +178,7 @@ def read_pages(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
     def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         page = Page(shared.value)
-        for batch in batches:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             docs_, texts, titles = (batch.column(i).to_pylist() for i in range(3))
             scans, kinds, breaks, ends = [], [], [], [0]
             flat: tuple[list, ...] = ([], [], [], [], [])
