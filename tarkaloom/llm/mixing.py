@@ -6,8 +6,8 @@ sampled.  The flight phase moves the fractions of a block of documents along the
 null space of the balancing constraints (number of documents, number of tokens), so
 both totals stay exactly as expected while documents are settled at 0 or 1; only two
 per block stay open.  These go into the next, smaller round, until one block per
-source is left; its last documents (the landing problem) are settled with the
-constraints given up one by one.
+source is left; its last two documents (the landing problem) take the outcome that misses the
+token total least.
 
 Blocks are hashes of the ids of at most about ``BLOCK`` documents, so a source of
 any size is spread over many tasks.  A handful of numbers per source (the targets
@@ -17,6 +17,7 @@ table bounds them) is all that reaches the driver.
 from __future__ import annotations
 
 import base64
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -69,14 +70,7 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, land: bool) -
             u = (x[b] - x[c], x[c] - x[a], x[a] - x[b])
             if not any(u):
                 u = (1.0, -1.0, 0.0)
-        elif not land or not held:
-            break
-        elif len(held) == 2:
-            # give up one constraint: keep the one on x
-            u = (x[held[1]], -x[held[0]]) if x[held[0]] and x[held[1]] else (1.0, -1.0)
         else:
-            i = held[0]
-            p[i] = float(rng.random() < p[i])
             break
         up = min((((1 - p[i]) / v) if v > 0 else (p[i] / -v)) for i, v in zip(held, u, strict=True) if v)
         down = min(((p[i] / v) if v > 0 else ((1 - p[i]) / -v)) for i, v in zip(held, u, strict=True) if v)
@@ -84,6 +78,11 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, land: bool) -
         for i, v in zip(held, u, strict=True):
             p[i] = min(1.0, max(0.0, p[i] + step * v))
         held = [i for i in held if _EPS < p[i] < 1 - _EPS]
+    if land and held:
+        # the landing problem: of the few outcomes the one that misses the tokens least
+        outcomes = itertools.product((0.0, 1.0), repeat=len(held))
+        best = min(outcomes, key=lambda o: abs(sum(x[i] * (s - p[i]) for i, s in zip(held, o, strict=True))))
+        p[held] = best
     p[p < _EPS] = 0.0
     p[p > 1 - _EPS] = 1.0
     return p
