@@ -9,20 +9,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarkaloom.plans import numbered, q_graph
+from tarkaloom.plans import numbered, q_graph, q_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for module in (numbered, q_graph):
+    for module in (numbered, q_graph, q_records):
         out |= module.QUERIES
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for module in (numbered, q_graph):
+    for module in (numbered, q_graph, q_records):
         out |= module.SQL
     return out
