@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarkaloom.functions.text import strip_ws
+from tarkaloom.operators.ordered import number_rows
 
 PREFERRED = ("en", "sa")
 
@@ -19,8 +20,8 @@ def id_uniqueness(df: DataFrame, group: str, key: str) -> DataFrame:
 def repaired_ids(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Ids renumbered within their prefix (the id without a trailing ``_digits``)."""
     prefix = F.when(F.col(key).rlike("_[0-9]+$"), F.regexp_replace(key, "_[0-9]+$", "")).otherwise(F.col(key))
-    n = F.row_number().over(Window.partitionBy("prefix").orderBy(*order))
-    return df.withColumn("prefix", prefix).withColumn("new_id", F.format_string("%s_%05d", "prefix", n))
+    d = number_rows(df.withColumn("prefix", prefix), ["prefix"], order, "_at")
+    return d.withColumn("new_id", F.format_string("%s_%05d", "prefix", "_at")).drop("_at")
 
 
 def dedupe_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -42,29 +43,6 @@ def cap_per_group(df: DataFrame, group: str, key: str, n: int, seed: int = 42) -
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("rank")
 
 
-def forward_fill(df: DataFrame, by: list[str], order: list[str], value: str, out: str) -> DataFrame:
-    """The last value seen so far within each group."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-
-
-def section_with_reset(df: DataFrame, by: list[str], order: list[str], chapter: str, section: Column, out: str) -> DataFrame:
-    """Carried section number: a new chapter resets it to 1 unless the same row names one."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    new_chapter = F.col(chapter).isNotNull() & ~F.lag(chapter).over(w).eqNullSafe(F.col(chapter))
-    d = df.withColumn("_event", F.when(section.isNotNull(), section).when(new_chapter, 1))
-    return d.withColumn(out, F.last("_event", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_event")
-
-
-def counter(df: DataFrame, by: list[str], order: list[str], number: str, out: str) -> DataFrame:
-    """The number if given, else the previous one plus 1 (before any: 1, 2, ...)."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    d = df.withColumn("_g", F.count(number).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    island = Window.partitionBy(*by, "_g")
-    k = F.row_number().over(island.orderBy(*order))
-    return d.withColumn(out, F.coalesce(F.max(number).over(island) + k - 1, k)).drop("_g")
-
-
 def preferred_commentaries(records: DataFrame, n: int = 2) -> Column:
     """The first ``n`` commentaries, those in preferred languages first, order kept."""
     good = lambda c: F.coalesce(c["lang"].isin(*PREFERRED), F.lit(False))

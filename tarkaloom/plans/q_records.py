@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarkaloom.operators import ordered as O
 from tarkaloom.operators import records as R
 from tarkaloom.operators import vectors as V
 from tarkaloom.plans.session import table
@@ -112,9 +113,9 @@ QUERIES = {
     "record_versions": _r(R.versions),
     "cap_per_group": _r(lambda r: R.cap_per_group(r.where("theme_tag is not null"), "theme_tag", "rec_no", 30).select("theme_tag", "rec_no")),
     "sample_hash": _r(lambda r: r.select("rec_no").orderBy(R.sample_order("rec_no", 42)).limit(50)),
-    "ffill_section": _r(lambda r: R.forward_fill(r.select("source", "rec_no", "section"), ["source"], ["rec_no"], "section", "section_filled").select("rec_no", "section_filled")),
-    "ffill_reset": _r(lambda r: R.section_with_reset(r, ["source"], ["rec_no"], "chapter", F.expr(_SECTION), "section_no").select("rec_no", "section_no")),
-    "counter_islands": _r(lambda r: R.counter(r, ["source"], ["rec_no"], "verse", "verse_no").select("rec_no", F.col("verse_no").cast("bigint").alias("verse_no"))),
+    "ffill_section": _r(lambda r: O.forward_fill(r.select("source", "rec_no", "section"), ["source"], ["rec_no"], "section", "section_filled").select("rec_no", "section_filled")),
+    "ffill_reset": _r(lambda r: O.section_with_reset(r, ["source"], ["rec_no"], "chapter", F.expr(_SECTION), "section_no").select("rec_no", "section_no")),
+    "counter_islands": _r(lambda r: O.counter(r, ["source"], ["rec_no"], "verse", "verse_no").select("rec_no", F.col("verse_no").cast("bigint").alias("verse_no"))),
     "prefer_top2": _r(lambda r: r.where("size(commentaries) > 0").select("rec_no", F.array_join(F.transform(R.preferred_commentaries(r), lambda c: F.coalesce(c["lang"], F.lit("?"))), ",").alias("langs"))),
     "prompt_build": _r(R.prompts),
     "priority_pick": _r(lambda r: R.priority_pick(r, ["en", "sa", "hi"])),
