@@ -112,7 +112,7 @@ SQL = {
     "stylometry_by_lang": _profile_sql("lang", "documents", PROSE, 1),
     "stylometry_preset": _profile_sql("source", "documents", _PRESET, 10),
     "stylometry_by_school": _profile_sql("school", _DUAL, PROSE, 10),
-    "style_corr": f"select round(corr(pct_quotation, pct_refutation), 6) as r, count(*) as n_groups from ({_profile_sql('source', 'documents', PROSE, 10)})",
+    "style_corr": f"select case when not isnan(corr(pct_quotation, pct_refutation)) then round(corr(pct_quotation, pct_refutation), 6) end as r, count(*) as n_groups from ({_profile_sql('source', 'documents', PROSE, 10)})",
     "term_by_group": f"""select h.lang, term, n_hits, round(100.0 * n_hits / n, 6) as pct from (select lang, term, count(*) as n_hits from documents, (select unnest([{", ".join(f"'{t}'" for t in TERMS)}]) as term) where contains(lower(text), term) group by 1, 2) h
       join (select lang, count(*) as n from documents group by 1) g on g.lang = h.lang""",
     "passages_dual": f"select school, kind, count(*) as n, cast(sum(length(text)) as bigint) as n_chars from {_DUAL} group by 1, 2",
