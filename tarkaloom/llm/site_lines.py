@@ -34,7 +34,9 @@ GRAM, WINDOW = 5, 4
 _LINES = T.ArrayType(T.StructType([T.StructField("line_no", T.LongType()), T.StructField("line_key", T.StringType()), T.StructField("chunk", T.LongType())]))
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(1_000_003)
-_DROP = regex.compile(r"[^\p{L}\p{M}]+")
+_DROP = regex.compile(r"[^\p{L}\p{M}\n]+")
+# texts whose letters are hashed together
+SLICE = 256
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -42,66 +44,87 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def cuts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of cuts (grams that are least in a window) and the gram hashes."""
-    n = len(codes) - GRAM + 1
-    if n < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+def _letters(texts: list[str | None], per_line: bool) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
+    """Letters of many texts at once: per text the letters of its lines, all their codes in
+    one array, and the number of the text (or of the line) that each code stands in."""
+    keys = [_DROP.sub("", t.lower()).split("\n") if t else [] for t in texts]
+    flat = [k for ks in keys for k in ks]
+    codes = np.frombuffer("".join(flat).encode("utf-32-le"), np.uint32)
+    group = np.repeat(np.arange(len(flat)), [len(k) for k in flat]) if per_line else np.repeat(np.arange(len(keys)), [sum(map(len, ks)) for ks in keys])
+    return keys, codes, group
+
+
+def cuts(codes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of cuts: grams that are least (the last of equals) in some window that
+    lies in one group."""
+    span = WINDOW + GRAM - 1
+    n, w = len(codes) - GRAM + 1, len(codes) - span + 1
+    if w < 1:
+        return np.empty(0, np.int64)
     h = np.zeros(n, np.uint64)
     for k in range(GRAM):
         h = h * _BASE + codes[k : k + n].astype(np.uint64)
     h = _mix(h)
-    view = np.lib.stride_tricks.sliding_window_view(h, WINDOW)
-    # the rightmost least one of each window
-    at = WINDOW - 1 - np.argmin(view[:, ::-1], axis=1) + np.arange(len(view))
-    return np.unique(at), h
-
-
-def chunk_hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and length of each chunk between two neighbouring cuts."""
-    at, _ = cuts(codes)
-    if len(at) < 2:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+    best, at = h[:w], np.arange(w)
+    for k in range(1, WINDOW):
+        take = h[k : k + w] <= best
+        best = np.where(take, h[k : k + w], best)
+        at = np.where(take, np.arange(k, k + w), at)
+    chosen = np.zeros(n, bool)
+    chosen[at[group[:w] == group[span - 1 :]]] = True
+    return np.flatnonzero(chosen)
+
+
+def chunk_hashes(codes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, length and group of each chunk between two neighbouring cuts of a group."""
+    at = cuts(codes, group)
+    at = (at[:-1], at[1:])
+    inside = group[at[0]] == group[at[1]]
+    start, end = at[0][inside], at[1][inside] + GRAM
     powers = np.cumprod(np.full(len(codes) + 1, _BASE, np.uint64))
     run = np.concatenate([[np.uint64(0)], np.cumsum(_mix(codes.astype(np.uint64) + np.uint64(7)) * powers[: len(codes)], dtype=np.uint64)])
-    start, end = at[:-1], at[1:] + GRAM
     # hash of codes[start:end], moved to a common power so that place doesn't matter
-    inverse = pow(int(_BASE), -1, 2**64)
-    inv = np.cumprod(np.full(len(codes) + 1, np.uint64(inverse), np.uint64))
+    inv = np.cumprod(np.full(len(codes) + 1, np.uint64(pow(int(_BASE), -1, 2**64)), np.uint64))
     h = _mix((run[end] - run[start]) * inv[start]) ^ (end - start).astype(np.uint64)
-    return h.view(np.int64), end - start
-
-
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return h.view(np.int64), end - start, group[start]
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def text_chunks(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Distinct chunk hashes of each text's letter stream."""
     for s in texts:
-        out = []
-        for t in s:
-            stream = _DROP.sub("", t.lower()) if t else ""
-            out.append(np.unique(chunk_hashes(_codes(stream))[0]))
-        yield pd.Series(out)
+        out: list[np.ndarray] = []
+        for i in range(0, len(s), SLICE):
+            part = s.iloc[i : i + SLICE].tolist()
+            h, _, g = chunk_hashes(*_letters(part, per_line=False)[1:])
+            order = np.lexsort((h, g))
+            h, g = h[order], g[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+            h, g = h[new], g[new]
+            out += np.split(h, np.searchsorted(g, np.arange(1, len(part))))
+        yield pd.Series(out, dtype=object)
 
 
 @F.pandas_udf(_LINES)
 def line_chunks(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Per line of at least two cuts: its letters and its longest chunk (the least hash of
-    those); ties in length are settled alike in every document."""
+    those), which is the same in every document."""
     for s in texts:
         out = []
-        for t in s:
-            rows = []
-            for k, line in enumerate((t or "").split("\n")):
-                key = _DROP.sub("", line.lower())
-                h, n = chunk_hashes(_codes(key))
-                if len(h):
-                    rows.append({"line_no": k, "line_key": key, "chunk": int(h[n == n.max()].min())})
-            out.append(rows)
-        yield pd.Series(out)
+        for i in range(0, len(s), SLICE):
+            keys, codes, group = _letters(s.iloc[i : i + SLICE].tolist(), per_line=True)
+            h, n, g = chunk_hashes(codes, group)
+            order = np.lexsort((h, -n, g))
+            h, g = h[order], g[order]
+            first = np.ones(len(g), bool)
+            first[1:] = g[1:] != g[:-1]
+            best = dict(zip(g[first].tolist(), h[first].tolist(), strict=True))
+            line = 0
+            for ks in keys:
+                out.append([{"line_no": k, "line_key": key, "chunk": best[line + k]} for k, key in enumerate(ks) if line + k in best])
+                line += len(ks)
+        yield pd.Series(out, dtype=object)
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = 12, min_docs: int = 3, min_share: float = 0.08, key: str = "doc_id") -> DataFrame:
