@@ -40,7 +40,7 @@ SLICE = 256
 # Glyphs as misread, and what stood on the page (lower case).
 GLYPHS = (
     ("c", "e"), ("e", "c"), ("f", "t"), ("t", "f"), ("u", "n"), ("n", "u"), ("i", "l"), ("l", "i"), ("b", "h"), ("h", "b"), ("q", "g"),
-    ("cl", "d"), ("d", "cl"), ("rn", "m"), ("m", "rn"), ("vv", "w"), ("ii", "u"), ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("8", "b"), ("9", "g"),
+    ("cl", "d"), ("d", "cl"), ("rn", "m"), ("m", "rn"), ("vv", "w"), ("ii", "u"), ("ii", "ü"), ("h", "li"), ("li", "h"), ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("8", "b"), ("9", "g"),
 )
 _BREAK = "-‐‑¬­"
 _TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}]+(?:['’][\p{L}\p{M}\p{N}]+)*")

@@ -5,8 +5,11 @@ by content, not by newlines: a rolling hash runs over every ``GRAM`` letters, an
 a cut is set wherever the hash is the least of some ``WINDOW`` consecutive ones.
 Two cuts that both come from windows inside a run of letters are the same in
 every document holding this run, and a run of at least
-``GRAM + 2 * WINDOW - 1`` = 12 letters always has two of them.  So every line of
-12 letters or more that is repeated has chunks that are repeated at least as
+``GRAM + 2 * WINDOW - 1`` = 12 letters always has two of them.  (It holds two windows
+without a common gram, whose least grams are two cuts.  A window across an edge of the
+run can't add a cut between these: it would hold the nearer cut, or all grams up to
+it, and pick a smaller gram, which the cut's own window would have picked too.)  So
+every line of 12 letters or more that is repeated has chunks that are repeated at least as
 often, whatever stands around it, and no repeated line is lost by looking only
 at lines whose chunks are repeated.
 
