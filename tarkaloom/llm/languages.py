@@ -212,11 +212,20 @@ class WordScores:
 
 
 def fit_scores(labelled: DataFrame, key: str = "doc_id", sample_per_lang: int = SAMPLE_PER_LANG) -> WordScores:
-    """Word counts per language of at most ``sample_per_lang`` labelled texts each."""
+    """Word counts per language of at most ``sample_per_lang`` labelled texts each.
+
+    Rows are counted per language first, so that a hash of the id thins them where they
+    are read and only about the sample itself is ever moved.
+    """
     langs = list(NAMES)
     d = labelled.where(F.col("lang").isin(langs) & F.col("text").isNotNull())
+    n = {r.lang: r["count"] for r in d.groupBy("lang").count().collect()}
+    part = F.pmod(F.xxhash64(key), F.lit(1 << 30)) / float(1 << 30)
+    keep = F.lit(False)
+    for lang, c in n.items():
+        keep = keep | ((F.col("lang") == lang) & (part < 1.1 * sample_per_lang / c))
     w = Window.partitionBy("lang").orderBy(F.xxhash64(key), key)
-    d = d.select(key, "lang", "text").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= sample_per_lang)
+    d = d.where(keep).select(key, "lang", "text").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= sample_per_lang)
     counts = d.select("lang", F.explode(_words("text")).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     return WordScores({(r.lang, r.word): r.n for r in counts.collect()})
 
