@@ -231,10 +231,12 @@ def corrections(pages: DataFrame) -> DataFrame:
     asked = links.select("word").union(links.select("fix")).distinct()
     pairs = tokens.join(asked, "word", "left_semi").select("word", F.explode(_near("near")).alias("c")).groupBy("word", "c").agg(F.count("*").alias("n"))
     pairs = stage(pairs, "pairs")
-    by_context = tokens.select(F.explode(_near("near")).alias("c")).groupBy("c").agg(F.count("*").alias("nc"))
+    # a word is the context of as many words, per place, as it occurs (but at the edges)
+    by_context = counts.select(F.col("word").alias("w"), F.col("n").alias("nc"))
     total = counts.agg(F.sum("n")).first()[0] or 1
-    pmi = F.log(F.col("n") * float(4 * total) / (F.col("nw") * F.col("nc")))
-    vectors = pairs.join(by_context, "c").join(pairs.groupBy("word").agg(F.sum("n").alias("nw")), "word").select("word", "c", F.greatest(pmi, F.lit(0.0)).alias("x")).where("x > 0")
+    pmi = F.log(F.col("n") * float(total) / (F.col("nw") * F.col("nc")))
+    sums = pairs.groupBy("word").agg((F.sum("n") / 4).alias("nw"))
+    vectors = pairs.withColumn("w", F.expr("substring(c, 2)")).join(by_context, "w").join(sums, "word").select("word", "c", F.greatest(pmi, F.lit(0.0)).alias("x")).where("x > 0")
     vectors = stage(vectors, "vectors")
     norms = vectors.groupBy("word").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     v = vectors.select(F.col("word").alias("fix"), "c", F.col("x").alias("y"))
