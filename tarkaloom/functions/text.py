@@ -71,3 +71,34 @@ def sentences(c: Column) -> Column:
     n = F.size(words)
     pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(n / 20).cast("int") - 1, F.lit(0))), lambda i: F.array_join(F.slice(words, i * 20 + 1, F.lit(20)), " "))
     return F.when(F.size(parts) >= 2, parts).when(n == 0, F.array().cast("array<string>")).when(n < 5, F.array(c)).otherwise(pieces)
+
+
+# Number words and roman digits.
+NUMBER_WORDS = {"first": 1, "second": 2, "third": 3, "fourth": 4, "fifth": 5, "sixth": 6, "seventh": 7, "eighth": 8, "ninth": 9, "tenth": 10}
+ROMAN = {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}
+
+
+def _lookup(c: Column, values: dict[str, int]) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), c)
+
+
+def number_word(c: Column) -> Column:
+    """The number an ordinal names, null for other words."""
+    return _lookup(F.lower(F.trim(c)), NUMBER_WORDS)
+
+
+def roman(c: Column) -> Column:
+    """A roman numeral as a number: a digit before a larger one is taken away.
+
+    Null for null, empty and other strings.
+    """
+    digits = F.transform(F.split(F.upper(c), ""), lambda d: F.coalesce(_lookup(d, ROMAN), F.lit(0)))
+    signed = F.transform(digits, lambda v, i: F.when(v < F.coalesce(F.try_element_at(digits, i + 2), F.lit(0)), -v).otherwise(v))
+    return F.when(F.upper(c).rlike("^[IVXLCDM]+$"), F.aggregate(signed, F.lit(0), lambda a, v: a + v))
+
+
+def is_front_matter(c: Column) -> Column:
+    """A page of front matter: contents or introduction named at its head, and no
+    number before its first word."""
+    head = F.left(c, F.lit(200))
+    return (head.contains("CONTENTS") | F.upper(head).contains("INTRODUCTION")) & ~c.rlike(r"^\s*\d+[.]")

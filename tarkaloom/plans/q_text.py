@@ -50,6 +50,13 @@ def _leading(d: DataFrame) -> DataFrame:
     return d.select("doc_id", n.alias("verse_no"), F.nullif(F.regexp_extract("text", r"([IVXLC]+[.][0-9]+)", 1), F.lit("")).alias("ref"))
 
 
+def _roman_refs(d: DataFrame) -> DataFrame:
+    """Book and verse of every reference such as XIV.3 that stands alone on a line."""
+    refs = F.regexp_extract_all("text", F.lit(r"(?m)^([IVXLC]+[.][0-9]+)$"), F.lit(1))
+    r = d.select("doc_id", F.posexplode(refs).alias("pos", "ref"))
+    return r.select("doc_id", F.col("pos").cast("bigint").alias("pos"), X.roman(F.substring_index("ref", ".", 1)).alias("book"), F.substring_index("ref", ".", -1).cast("int").alias("verse"))
+
+
 def _seek(d: DataFrame) -> DataFrame:
     """The text from the first word of a marker on, where there is one."""
     at = F.locate("the ", F.lower("text"))
@@ -99,6 +106,7 @@ QUERIES = {
     "script_ratio": _d(_ratios),
     "block_split": _d(_segments),
     "leading_number": _d(_leading),
+    "roman_refs": _d(_roman_refs),
     "seek_start": _d(_seek),
     "kwic": _d(_kwic),
     "ws_normalise": _d(lambda d: d.select("doc_id", F.md5(X.squash_ws(F.col("text"))).alias("text_md5"))),
@@ -123,6 +131,10 @@ SQL = {
       select doc_id, i - 1 as seg_no, regexp_extract(p[i], '^(Verse [0-9]+[.]|[IVXLC]+[.][0-9]+)\n', 1) as ref, length(p[i]) as n_chars from s, unnest(range(1, len(p) + 1)) as u(i)""",
     "leading_number": "select doc_id, try_cast(nullif(regexp_extract(text, 'Verse ([0-9]+)[.]', 1), '') as int) as verse_no, nullif(regexp_extract(text, '([IVXLC]+[.][0-9]+)', 1), '') as ref from documents",
     "seek_start": "select doc_id, md5(substr(text, strpos(lower(text), 'the '))) as rest, strpos(lower(text), 'the ') as start from documents where strpos(lower(text), 'the ') > 0",
+    "roman_refs": """with r as (select doc_id, regexp_extract_all(text, '(?m)^([IVXLC]+[.][0-9]+)$') as refs from documents),
+      p as (select doc_id, i - 1 as pos, split_part(refs[i], '.', 1) as b, cast(split_part(refs[i], '.', 2) as int) as verse from r, unnest(range(1, len(refs) + 1)) as u(i)),
+      v as (select *, list_transform(string_split(b, ''), lambda c: case c when 'I' then 1 when 'V' then 5 when 'X' then 10 when 'L' then 50 when 'C' then 100 else 0 end) as n from p)
+      select doc_id, pos, cast(list_sum(list_transform(range(1, len(n) + 1), lambda k: case when n[k] < coalesce(n[k + 1], 0) then -n[k] else n[k] end)) as int) as book, verse from v""",
     "kwic": f"""with k as (select doc_id, term, text, strpos(lower(text), term) as p from documents, (select unnest([{", ".join(f"'{t}'" for t in TERMS)}]) as term)),
       s as (select doc_id, term, trim(substr(text, greatest(p - 60, 1), least(p + length(term) + 60, length(text) + 1) - greatest(p - 60, 1)), chr(9) || chr(10) || chr(13) || ' ' || chr(160) || chr(8239) || chr(8197)) as snippet from k where p > 0)
       select * from s where length(snippet) > 30""",

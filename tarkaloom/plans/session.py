@@ -56,6 +56,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables, when no DataFrame reads them any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/staged")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 

@@ -115,3 +115,11 @@ def test_a_failed_tag_is_a_row(spark):
 def test_centroids(spark):
     df = spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "a", [1.0, 0.0]), (3, "b", [0.0, 1.0]), (4, "b", [0.0, 3.0]), (5, "c", [1.0, 1.0]), (6, None, [1.0, 1.0])], "k int, g string, v array<float>")
     assert [tuple(r) for r in centroid_pairs(centroids(df, "g", "k", "v"), "g").collect()] == [("a", "b", 1.0)]
+
+
+def test_numerals(spark):
+    cases = {"I": 1, "IV": 4, "XIX": 19, "xlii": 42, "MCMXC": 1990, "": None, "A": None}
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    assert {r.c: r.n for r in df.select("c", X.roman(F.col("c")).alias("n")).collect()} == cases
+    assert one(spark, X.number_word(F.col("t")), t=" Third ") == 3 and one(spark, X.number_word(F.col("t")), t="last") is None
+    assert one(spark, X.is_front_matter(F.col("t")), t="The introduction") and not one(spark, X.is_front_matter(F.col("t")), t="1. The introduction")
