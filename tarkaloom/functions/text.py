@@ -11,9 +11,13 @@ def rx(pattern: str, ignore_case: bool = False) -> str:
     return ("(?iu)" if ignore_case else "") + "(?U)(?d)" + pattern
 
 
+# All characters with the property White_Space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip_ws(c: Column) -> Column:
-    """Remove outer white space of any kind (``trim`` removes spaces only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Remove outer white space of any kind (``trim`` alone removes spaces only)."""
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def squash_ws(c: Column) -> Column:
