@@ -57,7 +57,17 @@ found as (
 """
 
 QUERIES = {"p3_found": p3_found, "p3_records": p3_records, "p7_found": p7_found, "p7_report": p7_report}
+_P3_RECORDS = """
+with p as (select raw_id, case when json_valid(payload) then json(payload) end as j from raw_record),
+a as (select raw_id, case when json_type(j) = 'ARRAY' then from_json(j, '["JSON"]')
+    when json_type(j, '$.data.items') = 'ARRAY' then from_json(json_extract(j, '$.data.items'), '["JSON"]')
+    else [coalesce(json_extract(j, '$.record'), j)] end as rs from p where j is not null)
+select raw_id, i - 1 as rec_pos, rs[i] ->> '$.id' as id, rs[i] ->> '$.source' as source, try_cast(rs[i] ->> '$.ref.chapter' as int) as chapter,
+  try_cast(rs[i] ->> '$.ref.verse' as int) as verse, rs[i] ->> '$.text' as text
+from a, unnest(range(1, len(rs) + 1)) as u(i) where rs[i] ->> '$.id' is not null
+"""
 SQL = {
+    "p3_records": _P3_RECORDS,
     "p7_found": _P7 + "select * from found",
     "p7_report": _P7 + "select ref_table, period, reason, count(*) as n_orphans from found group by all",
 }
