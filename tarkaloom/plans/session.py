@@ -79,3 +79,10 @@ def ship(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer parts than there are cores (one small
+    file of one row group); a scan of many parts stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
