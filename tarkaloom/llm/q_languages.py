@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarkaloom.llm import languages
-from tarkaloom.plans.session import table
+from tarkaloom.plans.session import spread, table
 
 
 def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return languages.commentary_languages(table(spark, sf_dir, "corpus_record"), table(spark, sf_dir, "documents"))
+    return languages.commentary_languages(spread(table(spark, sf_dir, "corpus_record")), table(spark, sf_dir, "documents"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

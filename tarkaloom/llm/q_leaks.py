@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarkaloom.llm import leakage, lookalike
-from tarkaloom.plans.session import stage, table
+from tarkaloom.plans.session import spread, stage, table
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.leaked(table(spark, sf_dir, "benchmark_item"), table(spark, sf_dir, "documents"))
+    return leakage.leaked(table(spark, sf_dir, "benchmark_item"), spread(table(spark, sf_dir, "documents")))
 
 
 def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,13 +21,13 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = lookalike.alike_pairs(lookalike.consistent(table(spark, sf_dir, "documents")))
+    pairs = lookalike.alike_pairs(lookalike.consistent(spread(table(spark, sf_dir, "documents"))))
     return pairs.select(F.col("doc_id_a").cast("bigint").alias("doc_id_a"), F.col("doc_id_b").cast("bigint").alias("doc_id_b"))
 
 
 def p10_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in its consistent form with the class of its form."""
-    forms = stage(lookalike.consistent(table(spark, sf_dir, "documents")), "forms")
+    forms = stage(lookalike.consistent(spread(table(spark, sf_dir, "documents"))), "forms")
     classes = forms.groupBy("form_key").agg(F.min("doc_id").alias("class_id"))
     return forms.join(classes, "form_key").select("doc_id", "class_id", F.col("form").alias("text"), (F.col("form") != F.col("text")).alias("changed"))
 

@@ -6,23 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarkaloom.llm import site_lines
-from tarkaloom.plans.session import stage, table
+from tarkaloom.plans.session import spread, stage, table
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = site_lines.repeated_lines(table(spark, sf_dir, "documents"))
+    found = site_lines.repeated_lines(spread(table(spark, sf_dir, "documents")))
     return found.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("line_no").cast("bigint").alias("line_no"))
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The over-repeated lines of each source."""
-    found = site_lines.repeated_lines(table(spark, sf_dir, "documents"))
+    found = site_lines.repeated_lines(spread(table(spark, sf_dir, "documents")))
     return found.groupBy("source", "line_key").agg(F.max("n_docs").alias("n_docs"), F.max("source_docs").alias("source_docs"), F.count("*").alias("n_lines"))
 
 
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without those lines."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return site_lines.without_lines(docs, stage(site_lines.repeated_lines(docs), "found"))
 
 

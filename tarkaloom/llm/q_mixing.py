@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tarkaloom.llm import mixing
-from tarkaloom.plans.session import stage, table
+from tarkaloom.plans.session import spread, stage, table
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))
+    return mixing.mixed(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "mix_target"))
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tarkaloom.llm import scan_noise
-from tarkaloom.plans.session import stage, table
+from tarkaloom.plans.session import spread, stage, table
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(scan_noise.read_pages(table(spark, sf_dir, "documents")), "pages")
+    return stage(scan_noise.read_pages(spread(table(spark, sf_dir, "documents"))), "pages")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +20,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every scan as continuous, corrected paragraphs."""
     pages = _pages(spark, sf_dir)
-    return scan_noise.repaired(table(spark, sf_dir, "documents"), pages, stage(scan_noise.corrections(pages), "fixes"))
+    return scan_noise.repaired(spread(table(spark, sf_dir, "documents")), pages, stage(scan_noise.corrections(pages), "fixes"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_clean": p1_clean}
