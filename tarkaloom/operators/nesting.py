@@ -6,11 +6,13 @@ their members, handing on the path of the enclosing commentary; ``flatten``
 joins the per-node arrays, and a single ``inline`` emits the rows at the end.
 The projection is unrolled for ``LEVELS`` levels of JSON; rows that are deeper
 go through the same projection again until none is open, so no depth is cut.
+
+Of a key that an object repeats, the last value counts, as in most JSON readers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarkaloom.plans.session import stage
@@ -20,6 +22,14 @@ MEMBERS = ("commentaries", "commentary")
 _NODE = "struct<m:map<string,variant>,a:array<variant>,path:string,parent:string,com:boolean>"
 
 
+def _last_key_wins(spark: SparkSession) -> None:
+    """Without this setting Spark's parser takes an object with a repeated key for broken.
+
+    It is read when a plan runs, so it stays set in the session.
+    """
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def _let(value: str, name: str, body: str) -> str:
     """Bind a value once inside a higher-order expression."""
     return f"transform(array({value}), {name} -> {body})[0]"
@@ -32,7 +42,7 @@ def _members(v: str) -> str:
     cast once, as each cast copies the subtree.
     """
     pair = lambda x: f"named_struct('m', try_cast({x} as map<string,variant>), 'a', try_cast({x} as array<variant>))"
-    held = _let(f"try_cast({v} as string)", "s", "try_parse_json(if(substr(ltrim(s), 1, 1) in ('{', '['), s, null))")
+    held = _let(f"try_cast({v} as string)", "s", "try_parse_json(if(substr(trim(leading ' \\t\\n\\r' from s), 1, 1) in ('{', '['), s, null))")
     return _let(pair(v), "c", f"if(c.m is not null or c.a is not null, c, {_let(held, 'p', pair('p'))})")
 
 
@@ -84,6 +94,7 @@ def commentary_tree(raw: DataFrame, key: str = "raw_id", payload: str = "payload
     row; a lone object has position 0; repeated payloads give repeated rows; absent
     or null names and schools are ''.
     """
+    _last_key_wins(raw.sparkSession)
     v = F.expr(f"try_parse_json(`{payload}`)")
     start = raw.select(F.col(key).alias("raw_id"), v.alias("v")).where("v is not null")
     left = start.select("raw_id", F.expr(f"array({_let(_members('v'), 'w', _node('w', chr(39) * 2, chr(39) * 2, 'false'))})").alias("open"))
@@ -101,6 +112,7 @@ def commentary_tree(raw: DataFrame, key: str = "raw_id", payload: str = "payload
 def record_table(raw: DataFrame, key: str = "raw_id", payload: str = "payload") -> DataFrame:
     """The flat parent table: one row per record object (an object with an ``id``),
     also where a payload wraps it in ``record``, ``data.items`` or an array."""
+    _last_key_wins(raw.sparkSession)
     v = F.expr(f"try_parse_json(`{payload}`)")
     df = raw.select(F.col(key).alias("raw_id"), v.alias("v")).where("v is not null")
     src = "coalesce(try_cast(v as array<variant>), try_cast(try_variant_get(v, '$.data.items', 'variant') as array<variant>), array(coalesce(try_variant_get(v, '$.record', 'variant'), v)))"

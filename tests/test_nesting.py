@@ -90,3 +90,15 @@ def test_empty_and_repeated(spark):
 def test_records_keep_their_payload(spark):
     df = spark.createDataFrame([(1, json.dumps([{"id": "a"}, {"id": "b", "ref": {"chapter": 3}}])), (2, json.dumps({"record": {"id": "c"}})), (3, "x{")], "raw_id bigint, payload string")
     assert sorted((r.raw_id, r.rec_pos, r.id) for r in record_table(df).collect()) == [(1, 0, "a"), (1, 1, "b"), (2, 0, "c")]
+
+
+def test_repeated_keys_and_white_space_before_nested_json(spark):
+    cases = [
+        '{"id": "a", "commentaries": [{"commentator": "x", "school": "s", "school": "t"}], "id": "b"}',
+        '{"commentaries": [{"commentator": "lost"}], "commentaries": [{"commentator": "kept"}, {"commentator": "too"}]}',
+        *[json.dumps({"commentaries": f"{ws}{json.dumps([{'commentator': 'in a string'}])}"}) for ws in ("\n", "\t", "\r\n ")],
+        '\n\t{"commentaries": "{\\"commentator\\": 1, \\"commentator\\": \\"last\\"}"}',
+    ]
+    got = found(spark, cases)
+    assert got == wanted(cases) and {r[0] for r in got} == set(range(6))
+    assert [r.id for r in record_table(spark.createDataFrame([(1, cases[0])], "raw_id bigint, payload string")).collect()] == ["b"]
