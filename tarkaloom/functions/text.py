@@ -102,7 +102,8 @@ def roman(c: Column) -> Column:
 
 
 def is_front_matter(c: Column) -> Column:
-    """A page of front matter: contents or introduction named at its head, and no
-    number before its first word."""
+    """A page of front matter: a roman page mark ('p. xii') in its first 50 characters, or
+    contents or introduction named at its head and no number before its first word."""
     head = F.left(c, F.lit(200))
-    return (head.contains("CONTENTS") | F.upper(head).contains("INTRODUCTION")) & ~c.rlike(r"^\s*\d+[.]")
+    roman_page = F.left(c, F.lit(50)).rlike(rx(r"\bp\.\s*[ivxlcdm]+\b", ignore_case=True))
+    return roman_page | (head.contains("CONTENTS") | F.upper(head).contains("INTRODUCTION")) & ~c.rlike(r"^\s*\d+[.]")

@@ -123,3 +123,9 @@ def test_numerals(spark):
     assert {r.c: r.n for r in df.select("c", X.roman(F.col("c")).alias("n")).collect()} == cases
     assert one(spark, X.number_word(F.col("t")), t=" Third ") == 3 and one(spark, X.number_word(F.col("t")), t="last") is None
     assert one(spark, X.is_front_matter(F.col("t")), t="The introduction") and not one(spark, X.is_front_matter(F.col("t")), t="1. The introduction")
+
+
+def test_a_roman_page_mark_is_front_matter(spark):
+    front = lambda t: one(spark, X.is_front_matter(F.col("t")), t=t)
+    assert front("p. xii Of the translation") and front("1. Preface, P.IV") and front("p.\nxl")
+    assert not front("p. 12 Of the rope") and not front("cp. xiiz") and not front("x" * 50 + " p. xii")
