@@ -207,7 +207,7 @@ def _near(c: str) -> Column:
 def glyph_variants(word: str) -> set[str]:
     """Words that this one may be a misreading of: one or two glyph edits."""
     once = {word[:i] + b + word[i + len(a) :] for a, b in GLYPHS for i in range(len(word)) if word.startswith(a, i)}
-    twice = {w[:i] + b + w[i + len(a) :] for w in once for a, b in GLYPHS if a[0] in "01568" for i in range(len(w)) if w.startswith(a, i)}
+    twice = {w[:i] + b + w[i + len(a) :] for w in once for a, b in GLYPHS for i in range(len(w)) if w.startswith(a, i)}
     return (once | twice) - {word}
 
 

@@ -121,3 +121,12 @@ def test_mix_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id bigint, source string, text string")
     t = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
     assert M.mixed(df, t).count() == 0
+
+
+def test_two_letters_of_a_word_misread(spark):
+    assert "teacher" in N.glyph_variants("teacbcr") and "again" in N.glyph_variants("a9aiu")
+    near = {"teacher": "rope rope silence silence", "teacbcr": "rope rope silence silence", "rope": "_ _ _ _", "silence": "_ _ _ _"}
+    tokens = lambda n, *ws: [(0, 0, len(w), w, near[w]) for w in ws for _ in range(n)]
+    rows = [(0, False, tokens(20, "teacher", "rope", "silence")), (1, True, tokens(2, "teacbcr", "rope"))]
+    pages = spark.createDataFrame(rows, "doc_id bigint, scan boolean, tokens array<struct<line:bigint,last:bigint,cut:bigint,word:string,near:string>>")
+    assert [(r.word, r.fix) for r in N.corrections(pages).collect()] == [("teacbcr", "teacher")]
