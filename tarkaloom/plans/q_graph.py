@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarkaloom.functions.vocab import RELATIONS, SCHOOLS
 from tarkaloom.operators import edges as E
+from tarkaloom.operators.ordered import number_rows
 from tarkaloom.plans.session import table
 
 
@@ -21,10 +22,8 @@ def edge_evidence_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def concepts_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested concepts as rows with provenance and a sequence number per source."""
     t = table(spark, sf_dir, "tagged_record").select("tag_no", "record_id", "source", F.posexplode("concepts").alias("pos", "c"))
-    from pyspark.sql import Window
-
-    seq = F.row_number().over(Window.partitionBy("source").orderBy("tag_no", "pos"))
-    return t.select(F.format_string("%s_%06d", F.coalesce("source", F.lit("")), seq).alias("concept_key"), "tag_no", "record_id", F.col("c.name").alias("name"), F.col("c.category").alias("category"))
+    t = number_rows(t, ["source"], ["tag_no", "pos"], "seq")
+    return t.select(F.format_string("%s_%06d", F.coalesce("source", F.lit("")), "seq").alias("concept_key"), "tag_no", "record_id", F.col("c.name").alias("name"), F.col("c.category").alias("category"))
 
 
 def tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:

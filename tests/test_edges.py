@@ -54,3 +54,15 @@ def test_two_hop_confirms(spark):
 def test_empty_table(spark):
     e = spark.createDataFrame([], EDGE)
     assert E.contested_pairs(e).count() == E.concept_degree(e).count() == E.best_evidence(e).count() == 0
+
+
+def test_concepts_of_a_source_are_numbered_in_blocks(spark, tmp_path):
+    from tarkaloom.plans.q_graph import concepts_flatten
+
+    rows = [(k * 9_000, f"r{k}", s, [(f"c{k}", "x"), (f"d{k}", "x")]) for k in range(10) for s in ("hot", None)]
+    spark.createDataFrame(rows, "tag_no bigint, record_id string, source string, concepts array<struct<name:string,category:string>>").write.parquet(f"{tmp_path}/tagged_record.parquet")
+    df = concepts_flatten(spark, str(tmp_path))
+    want = {(f"{s}_{2 * k + i + 1:06d}", f"{c}{k}") for k in range(10) for s in ("hot", "") for i, c in enumerate("cd")}
+    assert {(r.concept_key, r.name) for r in df.collect()} == want
+    windows = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number()" in x]
+    assert windows and all("windowspecdefinition(source#" in x and ", _b#" in x for x in windows)
