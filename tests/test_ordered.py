@@ -29,3 +29,11 @@ def test_state_is_carried_over_blocks(spark, block):
 def test_empty(spark):
     df = spark.createDataFrame([], "g string, pos int, v int")
     assert O.counter(df, ["g"], ["pos"], "v", "c").count() == 0
+
+
+def test_a_hot_group_is_really_split(spark):
+    n = 2 * O.BLOCK + 100
+    df = spark.range(1, n + 1).select(F.lit("hot").alias("g"), F.col("id").alias("pos"), F.when(F.col("id") == 5, 7).alias("v"))
+    assert n <= 160_000 and O._blocked(df, ["pos"], O.BLOCK).select("_b").distinct().count() == 3
+    d = O.forward_fill(O.number_rows(df, ["g"], ["pos"], "n"), ["g"], ["pos"], "v", "f")
+    assert d.where("n <> pos or (pos >= 5 and not f <=> 7) or (pos < 5 and f is not null)").count() == 0
