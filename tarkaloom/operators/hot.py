@@ -18,13 +18,14 @@ def hot_keys(rows: DataFrame, key: str, most: int = ROWS) -> DataFrame:
     return n.select(key, F.ceil(F.col("n") / most).cast("int").alias("parts"))
 
 
-def salted_join(rows: DataFrame, side: DataFrame, key: str, row_id: str, how: str = "inner", most: int = ROWS) -> DataFrame:
+def salted_join(rows: DataFrame, side: DataFrame, key: str, row_id: str, how: str = "inner", most: int = ROWS, keys: DataFrame | None = None) -> DataFrame:
     """``rows`` joined with ``side`` on ``key`` (inner or left): the rows of hot keys are dealt
     over several tasks by a hash of ``row_id``, and only the sides of those keys are copied.
 
-    Null keys match nothing.
+    Null keys match nothing.  ``keys``: the key column of ``rows`` (or of more rows) where it is
+    cheaper to count alone.
     """
-    hot = hot_keys(rows, key, most)
+    hot = hot_keys(rows if keys is None else keys, key, most)
     dealt = rows.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(row_id), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1))
     copied = side.where(F.col(key).isNotNull()).join(hot, key, "left").withColumn("_salt", copies).drop("parts")
