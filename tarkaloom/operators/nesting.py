@@ -4,8 +4,9 @@ A payload is parsed once into VARIANT.  Each step of :func:`_step` is one
 higher-order projection that turns the array of open nodes into the array of
 their members, handing on the path of the enclosing commentary; ``flatten``
 joins the per-node arrays, and a single ``inline`` emits the rows at the end.
-The projection is unrolled for ``LEVELS`` levels of JSON; rows that are deeper
-go through the same projection again until none is open, so no depth is cut.
+The projection is unrolled for ``LEVELS`` levels of JSON; the open nodes of deeper
+rows are staged and go through the same projection again until none is open, so no
+depth is cut and the source is read once.
 
 Of a key that an object repeats, the last value counts, as in most JSON readers.
 """
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 
 from tarkaloom.plans.session import stage
 
-LEVELS = 8
+LEVELS = 4
 MEMBERS = ("commentaries", "commentary")
-_NODE = "struct<m:map<string,variant>,a:array<variant>,path:string,parent:string,com:boolean>"
+_NODE = "struct<m:map<string,variant>,a:array<variant>,path:string,parent:string,com:boolean,rec:int>"
 
 
 def _last_key_wins(spark: SparkSession) -> None:
@@ -46,8 +47,8 @@ def _members(v: str) -> str:
     return _let(pair(v), "c", f"if(c.m is not null or c.a is not null, c, {_let(held, 'p', pair('p'))})")
 
 
-def _node(c: str, path: str, parent: str, com: str) -> str:
-    return f"named_struct('m', {c}.m, 'a', {c}.a, 'path', {path}, 'parent', {parent}, 'com', {com})"
+def _node(c: str, path: str, parent: str, com: str, rec: str = "n.rec") -> str:
+    return f"named_struct('m', {c}.m, 'a', {c}.a, 'path', {path}, 'parent', {parent}, 'com', {com}, 'rec', {rec})"
 
 
 def _step(names: tuple[str, ...]) -> str:
@@ -60,7 +61,8 @@ def _step(names: tuple[str, ...]) -> str:
     coms = f"if(w.a is not null, transform(w.a, (x, i) -> {_let(_members('x'), 'q', one('i'))}), {_let('w', 'q', f'array({one(0)})')})"
     plain = f"array({_node('w', 'n.path', 'n.parent', 'false')})"
     of_object = f"flatten(transform(map_entries(n.m), e -> {_let(_members('e.value'), 'w', f'if({named}, {coms}, {plain})')}))"
-    of_array = f"transform(n.a, x -> {_let(_members('x'), 'w', _node('w', 'n.path', 'n.parent', 'false'))})"
+    # outside commentaries the place in the innermost array is the record's
+    of_array = f"transform(n.a, (x, k) -> {_let(_members('x'), 'w', _node('w', 'n.path', 'n.parent', 'false', 'if(n.path = ' + chr(39) * 2 + ', k, n.rec)'))})"
     kids = f"coalesce({of_object}, {of_array}, cast(array() as array<{_NODE}>))"
     return f"filter(flatten(transform(open, n -> {kids})), k -> k.m is not null or k.a is not null)"
 
@@ -74,7 +76,7 @@ def _row() -> str:
     return _let(
         c,
         "c2",
-        f"named_struct('node_path', k.path, 'parent_path', k.parent, 'commentator', {name}, 'school', {school}, 'lang', {text('k.m[' + chr(39) + 'lang' + chr(39) + ']')}, 'text', {text('k.m[' + chr(39) + 'text' + chr(39) + ']')})",
+        f"named_struct('rec_pos', k.rec, 'node_path', k.path, 'parent_path', k.parent, 'commentator', {name}, 'school', {school}, 'lang', {text('k.m[' + chr(39) + 'lang' + chr(39) + ']')}, 'text', {text('k.m[' + chr(39) + 'text' + chr(39) + ']')})",
     )
 
 
@@ -89,7 +91,9 @@ def _walk(df: DataFrame, names: tuple[str, ...], levels: int) -> DataFrame:
 def commentary_tree(raw: DataFrame, key: str = "raw_id", payload: str = "payload", names: tuple[str, ...] = MEMBERS, levels: int = LEVELS) -> DataFrame:
     """One row per commentary object at any depth.
 
-    Columns ``raw_id, node_path, parent_path, commentator, school, lang, text``.
+    Columns ``raw_id, rec_pos, node_path, parent_path, commentator, school, lang, text``;
+    ``raw_id, rec_pos`` are those of :func:`record_table` (0 for a lone record), ``parent_path`` is
+    the ``node_path`` of the parent in the same record.
     Null, empty and broken payloads, null elements and non-object elements give no
     row; a lone object has position 0; repeated payloads give repeated rows; absent
     or null names and schools are ''.
@@ -97,16 +101,17 @@ def commentary_tree(raw: DataFrame, key: str = "raw_id", payload: str = "payload
     _last_key_wins(raw.sparkSession)
     v = F.expr(f"try_parse_json(`{payload}`)")
     start = raw.select(F.col(key).alias("raw_id"), v.alias("v")).where("v is not null")
-    left = start.select("raw_id", F.expr(f"array({_let(_members('v'), 'w', _node('w', chr(39) * 2, chr(39) * 2, 'false'))})").alias("open"))
+    left = start.select("raw_id", F.expr(f"array({_let(_members('v'), 'w', _node('w', chr(39) * 2, chr(39) * 2, 'false', '0'))})").alias("open"))
     out = None
     while True:
-        walked = _walk(left, names, levels)  # a filter here would be pushed down and repeat the projections
-        held = stage(walked.selectExpr("raw_id", "rows", "size(open) > 0 as deeper"), "nodes")
+        # a filter on walked rows would be pushed down and repeat the projections, so
+        # they are written once
+        held = stage(_walk(left, names, levels), "nodes")
         rows = held.selectExpr("raw_id", "inline(rows)")
         out = rows if out is None else out.unionByName(rows)
-        if held.where("deeper").isEmpty():
+        left = held.where("size(open) > 0").select("raw_id", "open")
+        if left.isEmpty():
             return out
-        left = walked.where("size(open) > 0").select("raw_id", "open")
 
 
 def record_table(raw: DataFrame, key: str = "raw_id", payload: str = "payload") -> DataFrame:

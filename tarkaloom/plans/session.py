@@ -2,9 +2,10 @@
 
 Long plans cut their lineage with a table written in the shared folder that
 the cluster names in ``spark.checkpoint.dir``.  A staged Parquet table keeps
-column pruning and file sizes, so Catalyst itself decides (by
-``spark.sql.autoBroadcastJoinThreshold``) whether a staged side is small
-enough to broadcast; nothing here broadcasts without that size.
+column pruning.  Its size on disk is that of packed columns, several times less
+than in memory, so :func:`table` and :func:`stage` have Catalyst count a file
+``UNPACKED`` times (``spark.sql.sources.fileCompressionFactor``) where it asks whether
+a side is under ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -34,12 +35,27 @@ def build_session(app: str = "tarkaloom", master: str = "local[8]", partitions:
     return b.getOrCreate()
 
 
+# bytes in memory to a byte of Parquet
+UNPACKED = 8.0
+
+
+def count_unpacked(spark: SparkSession) -> None:
+    name = "spark.sql.sources.fileCompressionFactor"
+    if float(spark.conf.get(name)) < UNPACKED:
+        spark.conf.set(name, str(UNPACKED))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a private one only where none is named."""
+    """The cluster's shared folder; a private one only where none is named and all tasks run
+    in this process."""
     sc = spark.sparkContext
     at = sc.getCheckpointDir()
     if at is None:
-        at = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if at is None:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            at = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(at)
         at = sc.getCheckpointDir()
     return at
@@ -48,9 +64,10 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Later jobs restart from the files when executors are lost, and the table's
-    size on disk is known to the planner.
+    Later jobs restart from the files when executors are lost.  A result may read
+    staged tables until it is written; then :func:`drop_staged` deletes them.
     """
+    count_unpacked(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/staged/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -78,6 +95,7 @@ def ship(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
+    count_unpacked(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

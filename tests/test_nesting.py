@@ -102,3 +102,13 @@ def test_repeated_keys_and_white_space_before_nested_json(spark):
     got = found(spark, cases)
     assert got == wanted(cases) and {r[0] for r in got} == set(range(6))
     assert [r.id for r in record_table(spark.createDataFrame([(1, cases[0])], "raw_id bigint, payload string")).collect()] == ["b"]
+
+
+def test_every_commentary_knows_its_record(spark):
+    one = lambda n: {"id": f"r{n}", "commentaries": [{"commentator": f"c{n}", "commentary": {"commentator": f"d{n}"}}]}
+    payloads = [json.dumps([one(0), one(1), one(2)]), json.dumps({"data": {"items": [one(3), one(4)]}}), json.dumps({"record": one(5)}), json.dumps(one(6))]
+    df = spark.createDataFrame([(i, p, "", "") for i, p in enumerate(payloads)], RAW)
+    tree, records = commentary_tree(df), record_table(df)
+    got = {(r.id, r.commentator) for r in records.join(tree, ["raw_id", "rec_pos"]).select("id", "commentator").collect()}
+    assert got == {(f"r{n}", f"{x}{n}") for n in range(7) for x in "cd"}
+    assert tree.count() == 14
