@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,13 +38,18 @@ _EPS = 1e-9
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, pattern: str = PATTERN, text: str = "text") -> DataFrame:
-    """Add ``n_tokens`` by a public byte-level vocabulary; null and empty texts have 0."""
+    """Add ``n_tokens`` by a public byte-level vocabulary; null and empty texts have 0.
+
+    The vocabulary file is read on the driver's machine and sent to the executors.
+    """
+    docs.sparkSession.sparkContext.addFile(tokenizer)
+    name = tokenizer.rsplit("/", 1)[-1]
 
     @F.pandas_udf(T.LongType())
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import tiktoken
 
-        with open(tokenizer, "rb") as f:
+        with open(SparkFiles.get(name), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for s in texts:
