@@ -129,4 +129,36 @@ def test_two_letters_of_a_word_misread(spark):
     tokens = lambda n, *ws: [(0, 0, len(w), w, near[w]) for w in ws for _ in range(n)]
     rows = [(0, False, tokens(20, "teacher", "rope", "silence")), (1, True, tokens(2, "teacbcr", "rope"))]
     pages = spark.createDataFrame(rows, "doc_id bigint, scan boolean, tokens array<struct<line:bigint,last:bigint,cut:bigint,word:string,near:string>>")
-    assert [(r.word, r.fix) for r in N.corrections(pages).collect()] == [("teacbcr", "teacher")]
+    got = N.corrections(pages).collect()
+    assert {(r.word, r.fix) for r in got} == {("teacbcr", "teacher")} and len(got) == 2
+
+
+def context_pages(spark):
+    """Clean text with its words in two settings, and a scan: (word, near) of each token."""
+    clean = [("modern", "a the house of")] * 30 + [("modem", "my cable box is")] * 30 + [("tree", "root of this grows")] * 30 + [("free", "set him now and")] * 30
+    clean += [(w, "_ _ _ _") for _, near in clean for w in near.split()]
+    scan = [("modem", "a the house of"), ("modem", "my cable box is"), ("modem", "_ _ _ _"), ("trce", "root of this grows"), ("trce", "set him now and")]
+    tokens = lambda ws: [(0, 0, len(w), w, near) for w, near in ws]
+    rows = [(0, False, tokens(clean)), (1, True, tokens(scan))]
+    return spark.createDataFrame(rows, "doc_id bigint, scan boolean, tokens array<struct<line:bigint,last:bigint,cut:bigint,word:string,near:string>>")
+
+
+def test_only_context_tells_candidates_apart(spark):
+    """One spelling is corrected to two words, and a word of clean text only where it doesn't fit."""
+    pages = context_pages(spark)
+    got = {r["at"]: (r.word, r.fix) for r in N.corrections(pages).collect()}
+    assert got == {0: ("modem", "modern"), 3: ("trce", "tree"), 4: ("trce", "free")}
+    off = {r["at"]: r.fix for r in N.corrections(pages, use_vectors=False).collect()}
+    assert off[3] == off[4] and 0 not in off
+
+
+@pytest.mark.parametrize(
+    ("line", "words"),
+    [
+        ("PREFACE", ["PREFACE"]), ("12   A Digest of the Lattice", ["A", "Digest", "of", "the", "Lattice"]), ("A Digest of the Lattice", None), ("THE VOW IS KEPT.", None), ("and so the rope 12", None),
+        ("A Very Long Running Header of the Elder Digest on the Measured Harbour and the Woven Lattice 17", "A Very Long Running Header of the Elder Digest on the Measured Harbour and the Woven Lattice".split()),
+        ("---", None),
+    ],
+)
+def test_header_like_lines(line, words):
+    assert N.Page.header_words(line) == words
