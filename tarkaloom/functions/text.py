@@ -24,14 +24,6 @@ def squash_ws(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
-def contains_any(c: Column, needles: list[str]) -> Column:
-    low = F.lower(c)
-    out = F.lit(False)
-    for n in needles:
-        out = out | low.contains(n)
-    return out
-
-
 def first_match(c: Column, rules: list[tuple[str, str]], default: str) -> Column:
     """Ordered classifier: the label of the first substring that occurs."""
     low = F.lower(c)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tarkaloom.plans.session import stage
 
 
-def chain_positions(links: DataFrame, node: str, previous: str, rounds: int = 40) -> DataFrame:
+def chain_positions(links: DataFrame, node: str, previous: str) -> DataFrame:
     """``node, head, position`` (0 at the head); nodes of a cycle have no head.
 
     A previous node that isn't in the table counts as no previous node.
@@ -21,7 +21,8 @@ def chain_positions(links: DataFrame, node: str, previous: str, rounds: int = 40
     known = n.select(F.col("node").alias("up"))
     cur = n.join(known, "up", "left_semi").select("node", "up", F.lit(1).cast("bigint").alias("hops")).unionByName(n.join(known, "up", "left_anti").select("node", F.lit(None).cast(n.schema["up"].dataType).alias("up"), F.lit(0).cast("bigint").alias("hops")))
     cur = stage(cur.withColumn("head", F.when(F.col("up").isNull(), F.col("node"))), "chain")
-    for _ in range(rounds):
+    # a chain of n rows is settled after about log2(n) rounds; what is open then is a cycle
+    for _ in range(max(cur.count(), 1).bit_length() + 1):
         if cur.where("head is null").isEmpty():
             break
         jump = cur.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("hops").alias("hops2"), F.col("head").alias("head2"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarkaloom.functions.vocab import CONFIDENCE, RELATIONS, SCHOOLS
+from tarkaloom.operators.hot import salted_join
 
 NO_SCHOOL, NO_RELATION = "(none)", "(none)"
 
@@ -113,19 +114,27 @@ def concept_degree(edges: DataFrame) -> DataFrame:
     return d.groupBy("concept").agg(F.sum("n").alias("n_edges"), F.count("*").alias("n_neighbours"))
 
 
-def two_hop(edges: DataFrame, relation: str, school: str | None = None) -> DataFrame:
+def two_hop(edges: DataFrame, school: str | None = None, most: int = 1_000) -> DataFrame:
     """Chains a -> b -> c of one relation inside one school, with whether some edge
-    a -> c of that school confirms them.  Distinct edges first, so a hot concept costs
-    its distinct neighbours, not its rows."""
-    e = edges.where((F.col("relation") == relation) & F.col("school").isNotNull() & (F.col("concept_a") != F.col("concept_b")))
+    a -> c of that relation and school confirms them.
+
+    Distinct edges first, so a hot concept costs its distinct neighbours, not its rows.  A
+    concept in the middle with more than ``most`` neighbours before it is dealt over
+    several tasks, each of which makes a bounded share of its chains and counts them
+    before they are moved.
+    """
+    by = ["relation", "school"]
+    e = edges.where(F.col("relation").isNotNull() & F.col("school").isNotNull() & (F.col("concept_a") != F.col("concept_b")))
     if school:
         e = e.where(F.col("school") == school)
-    d = e.select("school", "concept_a", "concept_b").distinct()
-    one = d.select("school", F.col("concept_a").alias("a"), F.col("concept_b").alias("b"))
-    two = d.select("school", F.col("concept_a").alias("b"), F.col("concept_b").alias("c"))
-    direct = d.select("school", F.col("concept_a").alias("a"), F.col("concept_b").alias("c"), F.lit(True).alias("confirmed"))
-    hops = one.join(two, ["school", "b"]).where("a <> c").groupBy("school", "a", "c").agg(F.count("*").alias("n_paths"))
-    return hops.join(direct, ["school", "a", "c"], "left").select("school", "a", "c", "n_paths", F.coalesce("confirmed", F.lit(False)).alias("confirmed"))
+    d = e.select(*by, "concept_a", "concept_b").distinct()
+    middle = lambda c: F.struct(*by, F.col(c).alias("b")).alias("middle")
+    one = d.select(middle("concept_b"), F.col("concept_a").alias("a"))
+    two = d.select(middle("concept_a"), F.col("concept_b").alias("c"))
+    direct = d.select(*by, F.col("concept_a").alias("a"), F.col("concept_b").alias("c"), F.lit(True).alias("confirmed"))
+    paths = salted_join(one, two, "middle", "a", most=most).where("a <> c").select("middle.relation", "middle.school", "a", "c")
+    hops = paths.groupBy(*by, "a", "c").agg(F.count("*").alias("n_paths"))
+    return hops.join(direct, [*by, "a", "c"], "left").select(*by, "a", "c", "n_paths", F.coalesce("confirmed", F.lit(False)).alias("confirmed"))
 
 
 def frequency(df: DataFrame, column: str, k: int | None = None) -> DataFrame:
@@ -134,18 +143,13 @@ def frequency(df: DataFrame, column: str, k: int | None = None) -> DataFrame:
     return g.orderBy(F.desc("n"), column).limit(k) if k else g
 
 
-def evidence_in_record(edges: DataFrame, records: DataFrame, salts: int = 8) -> DataFrame:
+def evidence_in_record(edges: DataFrame, records: DataFrame) -> DataFrame:
     """Is the quote really a part of the cited record's text or commentaries?
 
-    Records are salted copies so that a record cited by very many edges is spread.
+    Only records cited by very many edges are copied, to spread these.
     """
     bodies = F.concat(F.array("text"), F.coalesce(F.col("commentaries.text"), F.array().cast("array<string>")))
-    r = records.select(F.col("id").alias("source_record_id"), F.array_join(bodies, "\n").alias("body"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    e = edges.where("evidence_quote <> ''").select("edge_id", "source_record_id", "evidence_quote", F.pmod(F.xxhash64("edge_id"), F.lit(salts)).cast("int").alias("salt"))
-    j = e.join(r, ["source_record_id", "salt"])
+    r = records.select(F.col("id").alias("source_record_id"), F.array_join(bodies, "\n").alias("body"))
+    e = edges.where("evidence_quote <> ''").select("edge_id", "source_record_id", "evidence_quote")
+    j = salted_join(e, r, "source_record_id", "edge_id", keys=edges.select("source_record_id"))
     return j.groupBy("edge_id").agg(F.max(F.col("body").contains(F.col("evidence_quote"))).alias("verbatim"))
-
-
-def rank_in_group(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
-    """First ``n`` rows of each group (Catalyst limits groups before the shuffle)."""
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= n)

@@ -86,7 +86,8 @@ def todo(records: DataFrame, done: DataFrame, key: str, done_key: str, retry_fai
 
 
 def versions(records: DataFrame) -> DataFrame:
-    """Deliveries of each id in order, with the previous one and what changed."""
+    """Deliveries of each id in order, with the previous one and what changed; rows without
+    an id are deliveries of nothing."""
     w = Window.partitionBy("id").orderBy("loaded_at", "rec_no")
-    d = records.withColumns({"version": F.row_number().over(w), "previous": F.lag("rec_no").over(w), "old": F.lag("text").over(w)})
+    d = records.where("id is not null").withColumns({"version": F.row_number().over(w), "previous": F.lag("rec_no").over(w), "old": F.lag("text").over(w)})
     return d.select("id", "rec_no", F.col("version").cast("bigint").alias("version"), "previous", F.col("previous").isNotNull() & ~F.col("old").eqNullSafe(F.col("text")).alias("x")).toDF("id", "rec_no", "version", "previous", "text_changed")

@@ -12,15 +12,16 @@ WORDS = r"([\p{L}\p{M}]+)"
 TAGS = "record_id string, concepts array<struct<name:string,category:string>>, error string"
 
 
-def mentions(records: DataFrame, concepts: DataFrame) -> DataFrame:
-    """``rec_no, concept_id, n``: how often each record's text has each concept name.
+def mentions(records: DataFrame, concepts: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``rec_no, concept_id, n`` and columns to ``carry``: how often each record's text has each
+    concept name.
 
     Words are counted per record first; the equi-join on the word replaces a search of
     every name in every text.
     """
-    w = records.select("rec_no", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORDS), F.lit(1))).alias("word")).groupBy("rec_no", "word").agg(F.count("*").alias("n"))
+    w = records.select("rec_no", *carry, F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORDS), F.lit(1))).alias("word")).groupBy("rec_no", *carry, "word").agg(F.count("*").alias("n"))
     c = concepts.select("concept_id", F.lower("name").alias("word"))
-    return w.join(c, "word").select("rec_no", "concept_id", "n")
+    return w.join(c, "word").select("rec_no", *carry, "concept_id", "n")
 
 
 def tag_with(records: DataFrame, tagger: Callable[[str], list[tuple[str, str]]]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +41,9 @@ def rank_disagreement(pairs: DataFrame) -> DataFrame:
     return both.groupBy("g").agg(F.round(F.avg("distance"), 6).alias("mean_distance"), F.max(F.struct("distance", "o")).alias("m")).select("g", "mean_distance", F.col("m.o").alias("farthest"), F.col("m.distance").alias("max_distance"))
 
 
-def isolation(pairs: DataFrame, inside: Column) -> DataFrame:
-    """Mean distance within and across two classes of groups, and their ratio."""
-    g = pairs.withColumn("inside", inside).agg(F.avg(F.when(F.col("inside"), F.col("distance"))).alias("a"), F.avg(F.when(~F.col("inside"), F.col("distance"))).alias("b"))
+def isolation(pairs: DataFrame, member: Callable[[Column], Column]) -> DataFrame:
+    """Mean distance of groups of a class to each other (within) and to the groups outside
+    it (across), and their ratio; pairs of two groups outside count nowhere."""
+    a, b = member(F.col("group_a")), member(F.col("group_b"))
+    g = pairs.agg(F.avg(F.when(a & b, F.col("distance"))).alias("a"), F.avg(F.when(a != b, F.col("distance"))).alias("b"))
     return g.select(F.round("a", 6).alias("within"), F.round("b", 6).alias("across"), F.round(F.col("b") / F.col("a"), 6).alias("ratio"))

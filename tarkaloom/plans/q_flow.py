@@ -56,15 +56,15 @@ def verse_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 def concept_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many records of each school have each concept, and how often."""
     r = table(spark, sf_dir, "corpus_record")
-    m = mentions(r.where("school is not null"), table(spark, sf_dir, "concept_ref"))
-    return m.join(r.select("rec_no", "school"), "rec_no").groupBy("concept_id", "school").agg(F.count("*").alias("n_records"), F.sum("n").alias("n_mentions"))
+    m = mentions(r.where("school is not null"), table(spark, sf_dir, "concept_ref"), carry=("school",))
+    return m.groupBy("concept_id", "school").agg(F.count("*").alias("n_records"), F.sum("n").alias("n_mentions"))
 
 
 QUERIES = {"stream_resume": stream_resume, "stream_windows": stream_windows, "chain_walk": chain_walk, "verse_assemble": verse_assemble, "concept_mentions": concept_mentions}
 SQL = {
     "stream_resume": "select distinct record_id from tagged_record",
     "stream_windows": "select strftime(to_timestamp(floor(epoch(tagged_at) / 2592000) * 2592000) at time zone 'UTC', '%Y-%m-%d') as start, count(*) as n from graph_edge where tagged_at is not null group by 1",
-    "chain_walk": "select rec_no, first_value(rec_no) over w as head, row_number() over w - 1 as position from corpus_record window w as (partition by id order by loaded_at, rec_no)",
+    "chain_walk": "select rec_no, first_value(rec_no) over w as head, row_number() over w - 1 as position from corpus_record where id is not null window w as (partition by id order by loaded_at, rec_no)",
     "verse_assemble": """with l as (select doc_id, i - 1 as line_no, p[i] as line, nullif(regexp_extract(p[i], '^(Verse [0-9]+[.]|[IVXLC]+[.][0-9]+)$', 1), '') as ref from (select doc_id, string_split(text, chr(10)) as p from documents), unnest(range(1, len(p) + 1)) as u(i)),
       d as (select *, count(ref) over w as island, last_value(ref ignore nulls) over w as carried from l window w as (partition by doc_id order by line_no rows between unbounded preceding and current row))
       select doc_id, island, carried as ref, count(*) as n_lines, md5(string_agg(line, ' ' order by line_no)) as body_md5 from d where ref is null and line <> '' group by 1, 2, 3""",

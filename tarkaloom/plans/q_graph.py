@@ -87,7 +87,7 @@ QUERIES = {
     "vocab_validate": _q(E.validated),
     "vocab_drop_counts": _q(E.drop_counts),
     "concept_degree": _q(E.concept_degree),
-    "two_hop": _q(lambda e: E.two_hop(e, "IS_CAUSE_OF")),
+    "two_hop": _q(E.two_hop),
     "freq_topk": _q(lambda e: E.frequency(e.where("concept_a is not null"), "concept_a", 20)),
     "edge_evidence_check": edge_evidence_check,
     "concepts_flatten": concepts_flatten,
@@ -111,9 +111,9 @@ SQL = {
     "concept_degree": """with ends as (select concept_a as c, concept_b as o from graph_edge where concept_a <> '' and concept_b <> '' and concept_a <> concept_b
       union all select concept_b, concept_a from graph_edge where concept_a <> '' and concept_b <> '' and concept_a <> concept_b)
       select c as concept, count(*) as n_edges, count(distinct o) as n_neighbours from ends group by 1""",
-    "two_hop": """with d as (select distinct school, concept_a as a, concept_b as b from graph_edge where relation = 'IS_CAUSE_OF' and school is not null and concept_a <> concept_b)
-      select x.school, x.a, y.b as c, count(*) as n_paths, exists (select 1 from d z where z.school = x.school and z.a = x.a and z.b = y.b) as confirmed
-      from d x join d y on x.school = y.school and x.b = y.a where x.a <> y.b group by x.school, x.a, y.b""",
+    "two_hop": """with d as (select distinct relation, school, concept_a as a, concept_b as b from graph_edge where relation is not null and school is not null and concept_a <> concept_b),
+      p as (select relation, x.school, x.a, y.b as c, count(*) as n_paths from d x join d y using (relation) where x.school = y.school and x.b = y.a and x.a <> y.b group by all)
+      select p.relation, p.school, p.a, p.c, n_paths, d.a is not null as confirmed from p left join d on d.relation = p.relation and d.school = p.school and d.a = p.a and d.b = p.c""",
     "freq_topk": "select concept_a, count(*) as n from graph_edge where concept_a is not null group by 1 order by 2 desc, 1 limit 20",
     "edge_evidence_check": """select edge_id, bool_or(contains(array_to_string(list_filter(list_prepend(text, coalesce(list_transform(commentaries, lambda c: c.text), [])), lambda t: t is not null), chr(10)), evidence_quote)) as verbatim
       from graph_edge e join corpus_record r on r.id = e.source_record_id where evidence_quote <> '' group by 1""",

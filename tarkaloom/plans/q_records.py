@@ -44,17 +44,16 @@ def source_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parallel_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commentary segments set beside the text of their record, '' where there is none."""
     r = table(spark, sf_dir, "corpus_record")
-    c = r.select("rec_no", F.posexplode("commentaries").alias("com_pos", "c")).select("rec_no", F.col("com_pos").cast("bigint").alias("com_pos"), F.col("c.text").alias("other"))
-    j = c.join(r.select("rec_no", "text", "segment_id"), "rec_no", "left")
-    return j.select("rec_no", "com_pos", F.coalesce("segment_id", F.lit("")).alias("segment_id"), F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_text"), F.length(F.coalesce("other", F.lit(""))).cast("bigint").alias("n_other"))
+    j = r.select("rec_no", "text", "segment_id", F.posexplode("commentaries.text").alias("com_pos", "other"))
+    return j.select("rec_no", F.col("com_pos").cast("bigint").alias("com_pos"), F.coalesce("segment_id", F.lit("")).alias("segment_id"), F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_text"), F.length(F.coalesce("other", F.lit(""))).cast("bigint").alias("n_other"))
 
 
 def verse_commentary_nest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Commentaries flattened, joined to their record again and counted per kind."""
-    r = table(spark, sf_dir, "corpus_record")
-    flat = r.select("rec_no", F.inline("commentaries"))
-    g = flat.groupBy("rec_no").agg(F.count("*").alias("n_commentaries"), F.count_if(F.col("type") == "translation").alias("n_translations"), F.count_distinct("school").alias("n_schools"))
-    return r.select("rec_no").join(g, "rec_no", "left").na.fill(0)
+    """Commentaries of each record counted per kind, in place."""
+    c = F.coalesce("commentaries", F.array().cast("array<struct<commentator:string,school:string,lang:string,type:string,text:string>>"))
+    schools = F.array_distinct(F.filter(F.transform(c, lambda x: x["school"]), lambda s: s.isNotNull()))
+    size = lambda a: F.size(a).cast("bigint")
+    return table(spark, sf_dir, "corpus_record").select("rec_no", size(c).alias("n_commentaries"), size(F.filter(c, lambda x: x["type"] == "translation")).alias("n_translations"), size(schools).alias("n_schools"))
 
 
 def inventory_commentators(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,14 +132,14 @@ QUERIES = {
     "centroids": _v(lambda v: V.centroids(v, "label", "vec_id", "embedding").select("label", F.col("i").cast("bigint").alias("i"), F.round("x", 6).alias("x"))),
     "centroid_pairs": _pairs,
     "rank_disagreement": lambda s, d: V.rank_disagreement(_pairs(s, d)),
-    "group_isolation": lambda s, d: V.isolation(_pairs(s, d), (F.col("group_a") < 5) & (F.col("group_b") < 5)),
+    "group_isolation": lambda s, d: V.isolation(_pairs(s, d), lambda g: g < 5),
 }
 SQL = {
     "id_uniqueness": "select source, count(*) as n_rows, count(distinct id) + max(cast(id is null as int)) as n_ids, count(*) = count(distinct id) + max(cast(id is null as int)) as is_unique from corpus_record group by 1",
     "id_repair": f"select rec_no, id, p || '_' || lpad(cast(row_number() over (partition by p order by rec_no) as varchar), 5, '0') as new_id from (select rec_no, id, {_PREFIX} as p from corpus_record)",
     "dedupe_first": "select id, rec_no, source from (select *, row_number() over (partition by id order by loaded_at, rec_no) as k from corpus_record where id is not null) where k = 1",
     "record_versions": """select id, rec_no, row_number() over w as version, lag(rec_no) over w as previous,
-      lag(rec_no) over w is not null and lag(text) over w is distinct from text as text_changed from corpus_record window w as (partition by id order by loaded_at, rec_no)""",
+      lag(rec_no) over w is not null and lag(text) over w is distinct from text as text_changed from corpus_record where id is not null window w as (partition by id order by loaded_at, rec_no)""",
     "cap_per_group": "select theme_tag, rec_no from (select *, row_number() over (partition by theme_tag order by md5(rec_no || ':42'), rec_no) as k from corpus_record where theme_tag is not null) where k <= 30",
     "sample_hash": "select rec_no from corpus_record order by md5(rec_no || ':42') limit 50",
     "ffill_section": "select rec_no, last_value(section ignore nulls) over (partition by source order by rec_no rows between unbounded preceding and current row) as section_filled from corpus_record",
@@ -180,6 +179,6 @@ SQL = {
     "centroid_pairs": _C40 + "select * from pairs",
     "rank_disagreement": _C40 + "select g, round(avg(distance), 6) as mean_distance, max_by(o, struct_pack(d := distance, o := o)) as farthest, max(distance) as max_distance from both_ group by 1",
     "group_isolation": _C40
-    + """select round(avg(case when group_a < 5 and group_b < 5 then distance end), 6) as within, round(avg(case when not (group_a < 5 and group_b < 5) then distance end), 6) as across,
-      round(avg(case when not (group_a < 5 and group_b < 5) then distance end) / avg(case when group_a < 5 and group_b < 5 then distance end), 6) as ratio from pairs""",
+    + """select round(avg(case when group_a < 5 and group_b < 5 then distance end), 6) as within, round(avg(case when (group_a < 5) <> (group_b < 5) then distance end), 6) as across,
+      round(avg(case when (group_a < 5) <> (group_b < 5) then distance end) / avg(case when group_a < 5 and group_b < 5 then distance end), 6) as ratio from pairs""",
 }

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 COMMENTARY = "struct<commentator:string,school:string,lang:string,type:string,text:string>"
 RECORD = f"id string, source string, tradition string, darshana string, chapter int, section string, verse int, segment_id string, page int, verse_nums array<int>, text string, translator string, school string, theme_tag string, commentaries array<{COMMENTARY}>, comparative_notes array<string>"
+TAGGED = "record_id string, source string, relationships array<struct<concept_a:string,concept_b:string,relation:string,school:string,confidence:string,evidence_quote:string>>"
 EDGE = "edge_id string, concept_a string, concept_b string, relation string, school string, confidence string, evidence_quote string, source_record_id string, source_text string, tagged_from_file string"
 
 
@@ -44,6 +44,65 @@ def _split_top(schema: str) -> list[str]:
     return [*out, schema[at:]]
 
 
+def read_tagged_edges(spark: SparkSession, path: str, skip: tuple[str, ...] = ("test_verse.jsonl",)) -> DataFrame:
+    """The edge table of tagged JSON lines: one row per relationship, numbered over all
+    files in the order file, line, relationship, with the file it came from.
+
+    Blank and malformed lines, lines without relationships and skipped files give no row.  Lines
+    keep their place in a file by ``read_lines``; numbers are given by blocks, one count per
+    file and line (:func:`numbered_edges`).
+    """
+    lines = read_lines(spark, path).where(~F.col("file").isin(*skip) & (F.trim("line") != ""))
+    parsed = lines.select("file", "line_no", F.from_json("line", TAGGED).alias("t")).where("t.relationships is not null")
+    return numbered_edges(parsed.select("file", "line_no", "t.record_id", "t.source", "t.relationships"))
+
+
+def numbered_edges(tagged: DataFrame) -> DataFrame:
+    """``edge_no, edge_id`` and the relationships of ``file, line_no, record_id, source, relationships``.
+
+    The first number of each line comes from a running sum over the lines of its file and over
+    the files, so only counts are sorted, never the edges.
+    """
+    n = tagged.withColumn("n", F.size("relationships").cast("bigint"))
+    before = number_before(n, "file", "line_no", "n")
+    e = before.select("file", "line_no", "record_id", "source", "first", F.posexplode("relationships").alias("pos", "r"))
+    no = F.col("first") + F.col("pos") + 1
+    return e.select(no.alias("edge_no"), F.format_string("edge_%06d", no).alias("edge_id"), "r.*", F.col("record_id").alias("source_record_id"), F.col("source").alias("source_text"), F.col("file").alias("tagged_from_file"))
+
+
+def number_before(rows: DataFrame, file: str, line: str, n: str) -> DataFrame:
+    """Add ``first``: the sum of ``n`` in all earlier files and in earlier lines of the file."""
+    inside = Window.partitionBy(file, "_b").orderBy(line).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.withColumn("_b", F.floor(F.col(line) / F.lit(20_000)))
+    sums = blocks.groupBy(file, "_b").agg(F.sum(n).alias("_n"))
+    # one row per block of lines
+    earlier = Window.orderBy(file, "_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(file, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_carry"))
+    d = blocks.withColumn("_r", F.coalesce(F.sum(n).over(inside), F.lit(0))).join(carry, [file, "_b"])
+    return d.withColumn("first", F.col("_r") + F.col("_carry")).drop("_b", "_r", "_carry")
+
+
+def write_jsonl(rows: DataFrame, path: str) -> None:
+    """JSON lines, null members kept, one file per part."""
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def write_json_array(rows: DataFrame, path: str, order: str) -> None:
+    """One JSON array of all rows in order, a member per line.  ``order`` is unique.
+
+    The rows are sorted by all tasks; only the last step, which streams the lines into the one
+    file that an array needs, is a single task.  For large tables take :func:`write_jsonl`.
+    """
+    ends = rows.agg(F.min(order).alias("a"), F.max(order).alias("b")).first()
+    body = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    at = F.col(order)
+    line = F.concat(F.when(at == F.lit(ends["a"]), "[").otherwise(" "), body, F.when(at == F.lit(ends["b"]), "]").otherwise(","))
+    lines = rows.select(at.alias("_o"), line.alias("value")).sort("_o").coalesce(1).select("value")
+    if ends["a"] is None:
+        lines = rows.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1)
+    lines.write.mode("overwrite").text(path)
+
+
 def file_status(spark: SparkSession, path: str) -> DataFrame:
     """Per file: does it parse, and is its root an array?"""
     v = F.try_parse_json("value")
@@ -94,12 +153,12 @@ def review_precision(sheet: DataFrame) -> DataFrame:
 
 
 def append_new(rows: DataFrame, path: str, key: str) -> None:
-    """Append the rows whose key the table doesn't hold yet; safe to repeat."""
+    """Append the rows whose key the table doesn't hold yet; safe to repeat.  Null is a key, too."""
     spark = rows.sparkSession
     fresh = rows.dropDuplicates([key])
     try:
-        have = spark.read.parquet(path).select(key)
-        fresh = fresh.join(have, key, "left_anti")
+        have = spark.read.parquet(path).select(F.col(key).alias("_held"))
+        fresh = fresh.join(have, F.col(key).eqNullSafe(F.col("_held")), "left_anti")
     except Exception as e:  # the first write finds no table
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
@@ -112,7 +171,3 @@ def write_version(rows: DataFrame, base: str) -> str:
     path = f"{base}/version={uuid.uuid4().hex}"
     rows.write.parquet(path)
     return path
-
-
-def schema_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)

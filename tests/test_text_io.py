@@ -98,7 +98,7 @@ def test_ids_and_versions(spark, day):
 
 def test_chains(spark):
     links = [(i, i - 1 if i else None) for i in range(40)] + [(100, 101), (101, 100), (200, 999)]
-    got = {r.n: (r.head, r.position) for r in chain_positions(spark.createDataFrame(links, "n int, p int"), "n", "p", rounds=8).collect()}
+    got = {r.n: (r.head, r.position) for r in chain_positions(spark.createDataFrame(links, "n int, p int"), "n", "p").collect()}
     assert got[39] == (0, 39) and got[0] == (0, 0) and got[100] == (None, None) and got[200] == (200, 0)
 
 
