@@ -16,8 +16,12 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0
 
 
 def strip_ws(c: Column) -> Column:
-    """Remove outer white space of any kind (``trim`` alone removes spaces only)."""
-    return F.trim(c, F.lit(WHITE_SPACE))
+    """Remove outer white space of any kind (``trim`` alone removes spaces only).
+
+    Trimming a set of characters is dear, so it is done only where there are some.
+    """
+    outer = F.left(c, F.lit(1)).isin(*WHITE_SPACE) | F.right(c, F.lit(1)).isin(*WHITE_SPACE)
+    return F.when(outer, F.trim(c, F.lit(WHITE_SPACE))).otherwise(c)
 
 
 def squash_ws(c: Column) -> Column:
