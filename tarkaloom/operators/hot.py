@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarkaloom.plans.session import stage
+
 # rows of one key that are left in one task
 ROWS = 100_000
+# keys that are sent to all executors at once
+MOST_SENT = 50_000
 
 
 def hot_keys(rows: DataFrame, key: str, most: int = ROWS) -> DataFrame:
@@ -25,7 +29,12 @@ def salted_join(rows: DataFrame, side: DataFrame, key: str, row_id: str, how: st
     Null keys match nothing.  ``keys``: the key column of ``rows`` (or of more rows) where it is
     cheaper to count alone.
     """
-    hot = hot_keys(rows if keys is None else keys, key, most)
+    hot = stage(hot_keys(rows if keys is None else keys, key, most), "hot_keys")
+    n_hot = hot.count()
+    if not n_hot:
+        return rows.join(side, key, how)
+    # small enough to be sent whole, or joined by shuffle like any table
+    hot = F.broadcast(hot) if n_hot <= MOST_SENT else hot
     dealt = rows.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(row_id), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1))
     copied = side.where(F.col(key).isNotNull()).join(hot, key, "left").withColumn("_salt", copies).drop("parts")
