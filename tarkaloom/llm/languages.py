@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarkaloom.llm.concept_match import latin
-from tarkaloom.plans.session import stage
 
 SAMPLE_PER_LANG = 1_500
 SWITCH = 9.0
@@ -178,9 +177,10 @@ class WordScores:
         return out[::-1]
 
     def segments(self, text: str) -> list[dict]:
-        """Spans of whole sentences with language, confidence and place (code points)."""
+        """Spans of whole sentences with language, confidence and place (code points of the
+        text as given; only its words are normalised)."""
         parts = []
-        for m in _SENTENCE.finditer(_QUOTE.sub("|", unicodedata.normalize("NFC", text))):
+        for m in _SENTENCE.finditer(_QUOTE.sub("|", text)):
             w = words_of(m[0])
             if w:
                 parts.append((m.start(), m.end(), w))
@@ -259,19 +259,24 @@ def _label_code(labels: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def commentary_languages(records: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``rec_no, com_pos, label, label_code, segments, langs`` of every commentary.
+    """``rec_no, com_pos, label, label_code, segments, langs, lang, confidence`` of every commentary.
 
-    Null arrays, null and blank texts give no row; repeated records repeat.
+    ``lang`` is the language of most of its words (ties: the first by code), ``confidence`` the
+    mean confidence of that language's segments times its share of the words; both are null
+    for texts without a word.  Null arrays, null and blank texts give no row; repeated
+    records repeat.
     """
     c = label_segments(commentaries(records), fit_scores(labelled))
-    return c.withColumns({"label_code": _label_code("label"), "langs": F.array_sort(F.array_distinct(F.transform("segments", lambda s: s["lang"])))})
+    c = c.withColumns({"label_code": _label_code("label"), "langs": F.array_sort(F.array_distinct(F.transform("segments", lambda s: s["lang"])))})
+    total = lambda of, what: F.aggregate(of, F.lit(0.0), lambda acc, s: acc + what(s))
+    mine = lambda lang: F.filter("segments", lambda s: s["lang"] == lang)
+    words = lambda s: s["words"].cast("double")
+    sums = F.transform("langs", lambda x: F.struct(total(mine(x), words).alias("n"), x.alias("lang"), total(mine(x), lambda s: s["confidence"] * words(s)).alias("sure")))
+    most = F.try_element_at(F.filter(sums, lambda x: x["n"] == F.array_max(F.transform(sums, lambda y: y["n"]))), F.lit(1))
+    return c.withColumn("main", most).withColumns({"lang": F.col("main.lang"), "confidence": F.col("main.sure") / F.nullif(total(F.col("segments"), words), F.lit(0.0))}).drop("main")
 
 
 def doubtful(languages: DataFrame) -> DataFrame:
     """``rec_no, com_pos, lang_code``: label missing or wrong, or several languages."""
     wrong = (F.size("langs") > 1) | F.col("label_code").isNull() | ~F.array_contains("langs", F.col("label_code"))
     return languages.where(F.coalesce(wrong, F.lit(True))).select("rec_no", "com_pos", F.explode("langs").alias("lang_code"))
-
-
-def staged_languages(records: DataFrame, labelled: DataFrame) -> DataFrame:
-    return stage(commentary_languages(records, labelled).drop("text"), "languages")

@@ -23,5 +23,10 @@ def p2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seg.select("rec_no", "com_pos", F.col("seg_pos").cast("bigint").alias("seg_pos"), F.col("s.lang").alias("lang"), F.col("s.confidence").alias("confidence"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_segments": p2_segments}
+def p2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every commentary with its main language and the confidence in it."""
+    return _languages(spark, sf_dir).select("rec_no", "com_pos", "label", "lang", "confidence")
+
+
+QUERIES = {"p2_found": p2_found, "p2_segments": p2_segments, "p2_languages": p2_languages}
 SQL: dict[str, str] = {}

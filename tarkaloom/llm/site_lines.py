@@ -23,6 +23,7 @@ at lines whose chunks are repeated.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -141,7 +142,8 @@ def repeated_lines(docs: DataFrame, min_chars: int = 12, min_docs: int = 3, min_
     assert min_chars >= GRAM + 2 * WINDOW - 1
     d = docs.select(F.coalesce("source", F.lit("")).alias("source"), F.col(key).alias("doc_id"), "text")
     totals = stage(d.groupBy("source").agg(F.countDistinct("doc_id").alias("source_docs")), "source_docs")
-    need = F.greatest(F.lit(min_docs).cast("double"), F.col("source_docs") * min_share)
+    # exact: 14 of 175 documents are 8 %, which binary fractions miss
+    need = F.greatest(F.lit(min_docs).cast("decimal(26,6)"), (F.col("source_docs").cast("decimal(19,0)") * F.lit(Decimal(str(min_share)).quantize(Decimal("0.000001")))).cast("decimal(26,6)"))
     chunked = d.select("source", F.explode(text_chunks("text")).alias("chunk"))
     # a document is one row here; repeated rows are sorted out by the exact count below
     frequent = chunked.groupBy("source", "chunk").agg(F.count("*").alias("n")).join(totals, "source").where(F.col("n") >= need).select("source", "chunk")

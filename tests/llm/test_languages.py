@@ -64,3 +64,16 @@ def test_empty_and_long(spark, labelled):
     assert scores.segments("") == [] and scores.segments("1 2 3 !") == []
     assert [s["lang"] for s in scores.segments((EN + " ") * 2000)] == ["en"]
     assert found(spark, labelled.limit(0)) == []
+
+
+def test_places_are_those_of_the_given_text(labelled):
+    """Decomposed accents count as they stand."""
+    text = "E\u0301t non. " + LINES["fr"] + ". " + DE
+    seg = G.fit_scores(labelled).segments(text)
+    assert [s["lang"] for s in seg] == ["fr", "de"] and text[seg[1]["start"] : seg[1]["end"]].strip() == DE and seg[-1]["end"] == len(text)
+
+
+def test_main_language_and_confidence(spark, labelled):
+    recs = spark.createDataFrame([(1, "x", 1, [com("en", f"{EN} {DE} {DE}"), com(None, EN), com("en", "1 2"), com("en", None)])], RECORD)
+    got = {r.com_pos: (r.lang, r.confidence) for r in G.commentary_languages(recs, labelled).collect()}
+    assert sorted(got) == [0, 1, 2] and got[0][0] == "de" and 0.5 < got[0][1] < 0.8 and got[1][0] == "en" and got[1][1] > 0.9 and got[2] == (None, None)

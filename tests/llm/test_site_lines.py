@@ -21,7 +21,7 @@ def brute(rows, min_docs=3, share=0.08):
         for i, x in enumerate((t or "").split("\n")):
             if len(key(x)) >= 12:
                 where.setdefault((s or "", key(x)), set()).add((d, i))
-    return {o for (s, _), os in where.items() if len({d for d, _ in os}) >= max(min_docs, share * len(docs[s])) for o in os}
+    return {o for (s, _), os in where.items() if len({d for d, _ in os}) >= min_docs and 100 * len({d for d, _ in os}) >= round(100 * share) * len(docs[s]) for o in os}
 
 
 def test_found_equals_brute_force(spark):
@@ -63,3 +63,9 @@ def test_empty(spark):
     found = S.repeated_lines(df)
     assert found.count() == 0 and S.without_lines(df, found).count() == 0
     assert len(S.chunk_hashes(np.empty(0, np.uint32), np.empty(0, np.int64))[0]) == 0
+
+
+def test_the_share_is_exact(spark):
+    """14 of 175 documents are 8 %, though 175 * 0.08 is more than 14 in binary fractions."""
+    rows = [(d, "a", "the same notice in all" if d < 14 else f"nothing {d}", "", 1) for d in range(175)]
+    assert S.repeated_lines(spark.createDataFrame(rows, DOC)).count() == 14
