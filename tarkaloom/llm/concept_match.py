@@ -7,10 +7,11 @@ Token-level repair, then soft TF-IDF over whole entries:
    were split by a space or hyphen;
 2. every distinct token is joined to the reference vocabulary (words of names and
    glosses) within an edit distance of 1 (under 6 letters) or 2, a swap counting as
-   one edit, over shared deletion variants, so no token meets the whole vocabulary;
+   one edit, over shared deletion variants, so no token meets the whole vocabulary; all
+   words in reach are kept;
 3. a value is compared to the three forms of an entry (name, gloss, both) by the
-   cosine of TF-IDF weights, each pair of tokens weighted by its similarity; the best
-   entry counts from ``least`` on, otherwise the value means none (-1).
+   cosine of TF-IDF weights, each token with the closest word of the entry, weighted by
+   their similarity; the best entry counts from ``least`` on, otherwise the value means none (-1).
 
 Document frequencies are those of all distinct values.
 """
@@ -105,7 +106,8 @@ def reference_forms(ref: DataFrame) -> DataFrame:
 
 
 def repair(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``token, ref_token, sim``: the nearest reference words of each token, within reach.
+    """``token, ref_token, sim, nearest``: all reference words within reach of each token;
+    ``nearest`` marks those of the fewest edits.
 
     ``tokens`` and ``vocabulary`` have one distinct column ``token``.
     """
@@ -117,8 +119,10 @@ def repair(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     most = F.when(longer <= MIN_LETTERS, 0).when(shorter < SHORT, 1).otherwise(2)
     pairs = a.join(b, "probe").select("token", "ref_token").distinct().withColumn("d", d)
     pairs = pairs.withColumn("d", F.when((F.col("d") == 2) & same_letters, 1).otherwise(F.col("d"))).where(F.col("d") <= most)
-    near = pairs.withColumn("least", F.min("d").over(Window.partitionBy("token"))).where("d = least")
-    return near.select("token", "ref_token", (1 - 0.5 * F.col("d") / F.greatest(F.length("token"), F.length("ref_token"))).alias("sim"))
+    # the words in reach of one token are bounded by the reference vocabulary
+    near = pairs.withColumn("least", F.min("d").over(Window.partitionBy("token")))
+    sim = 1 - 0.5 * F.col("d") / F.greatest(F.length("token"), F.length("ref_token"))
+    return near.select("token", "ref_token", sim.alias("sim"), (F.col("d") == F.col("least")).alias("nearest"))
 
 
 def match_values(values: DataFrame, ref: DataFrame, least: float = LEAST) -> DataFrame:
@@ -135,16 +139,19 @@ def match_values(values: DataFrame, ref: DataFrame, least: float = LEAST) -> Dat
     freq = stage(long.groupBy("token").agg(F.countDistinct("value").alias("df")), "tokens")
     near = stage(repair(freq.select("token"), vocabulary), "repairs")
     total = max(values.count(), 1)
-    # a repaired token counts with the frequency of the word it is repaired to
-    ref_df = near.join(freq, "token").groupBy("ref_token").agg(F.sum("df").alias("ref_df"))
+    # a repaired token counts with the frequency of the nearest word
+    nearest = near.where("nearest")
+    ref_df = nearest.join(freq, "token").groupBy("ref_token").agg(F.sum("df").alias("ref_df"))
     weight = lambda c: F.log(1 + F.lit(float(total)) / F.greatest(c, F.lit(1)))
     ref_w = form_tokens.join(ref_df, "ref_token", "left").withColumn("rw", weight(F.coalesce("ref_df", F.lit(1))))
     form_norm = ref_w.groupBy("concept_id", "form").agg(F.sqrt(F.sum(F.col("rw") * F.col("rw"))).alias("fn"))
-    token_w = freq.join(near.groupBy("token").agg(F.min("ref_token").alias("ref_token")), "token", "left").join(ref_df, "ref_token", "left").select("token", weight(F.coalesce("ref_df", "df")).alias("tw"))
+    token_w = freq.join(nearest.groupBy("token").agg(F.min("ref_token").alias("ref_token")), "token", "left").join(ref_df, "ref_token", "left").select("token", weight(F.coalesce("ref_df", "df")).alias("tw"))
     weighted = long.join(token_w, "token")
     value_norm = weighted.groupBy("value", "reading").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("vn"))
-    hits = weighted.join(near, "token").join(ref_w, "ref_token")
-    score = hits.groupBy("value", "reading", "concept_id", "form").agg(F.sum(F.col("tw") * F.col("rw") * F.col("sim")).alias("dot"))
+    # of the words of an entry a token meets the one that gives it most; settled once per distinct token
+    close = near.join(ref_w, "ref_token").groupBy("token", "concept_id", "form").agg(F.max(F.col("rw") * F.col("sim")).alias("w"))
+    hits = weighted.join(close, "token")
+    score = hits.groupBy("value", "reading", "concept_id", "form").agg(F.sum(F.col("tw") * F.col("w")).alias("dot"))
     score = score.join(form_norm, ["concept_id", "form"]).join(value_norm, ["value", "reading"]).withColumn("score", F.col("dot") / (F.col("fn") * F.col("vn")))
     best = score.groupBy("value").agg(F.max(F.struct("score", (-F.col("concept_id")).alias("neg"))).alias("b"))
     fits = F.coalesce(F.col("b.score") >= least, F.lit(False))

@@ -31,7 +31,7 @@ def test_empty_tables(spark):
 
 
 def test_repair_equals_brute_force(spark):
-    vocab = ["compass", "echo", "pasture", "rut", "dhinyrla"]
+    vocab = ["compass", "compare", "echo", "pasture", "rut", "dhinyrla"]
     tokens = ["compas", "compazz", "ecoh", "eco", "ruts", "rt", "dhinrlya", "patsure", "pastrue", "compzxs", "xxxx"]
 
     def lev(a, b):
@@ -51,7 +51,15 @@ def test_repair_equals_brute_force(spark):
             most = 0 if max(len(t), len(v)) <= 3 else 1 if min(len(t), len(v)) < 6 else 2
             if d <= most:
                 near[v] = d
-        want |= {(t, v) for v, d in near.items() if d == min(near.values())}
+        want |= {(t, v, d == min(near.values())) for v, d in near.items()}
     a = spark.createDataFrame([(t,) for t in tokens], "token string")
     b = spark.createDataFrame([(t,) for t in vocab], "token string")
-    assert {(r.token, r.ref_token) for r in C.repair(a, b).collect()} == want
+    assert {(r.token, r.ref_token, r.nearest) for r in C.repair(a, b).collect()} == want
+
+
+def test_words_farther_than_the_nearest_count(spark):
+    """'sheadow' is one edit from 'shadow' and two from 'meadow', which the rest of the value asks for."""
+    ref = spark.createDataFrame([(1, "quiet meadow", None), (2, "long shadow", None)], "concept_id bigint, name string, gloss string")
+    values = spark.createDataFrame([("quiet sheadow",), ("long sheadow",), ("sheadow quite other",)], "value string")
+    got = {r.value: r.concept_id for r in C.match_values(values, ref).collect()}
+    assert got == {"quiet sheadow": 1, "long sheadow": 2, "sheadow quite other": -1}
