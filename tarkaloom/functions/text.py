@@ -37,6 +37,19 @@ def first_match(c: Column, rules: list[tuple[str, str]], default: str) -> Column
     return out.otherwise(default) if out is not None else F.lit(default)
 
 
+def contains_any(c: Column, needles: list[str]) -> Column:
+    return F.exists(F.array(*map(F.lit, needles)), lambda n: c.contains(n))
+
+
+def starts_any(c: Column, starts: list[str]) -> Column:
+    """Does the text begin with one of them, whatever its case?  They are given in lower case."""
+    return F.exists(F.array(*map(F.lit, starts)), lambda n: F.lower(c).startswith(n))
+
+
+def matches_any(c: Column, patterns: list[str]) -> Column:
+    return c.rlike("(" + "|".join(map(rx, patterns)) + ")")
+
+
 def slug(c: Column, length: int = 40) -> Column:
     return F.left(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "_"), F.lit(length))
 

@@ -91,3 +91,19 @@ def versions(records: DataFrame) -> DataFrame:
     w = Window.partitionBy("id").orderBy("loaded_at", "rec_no")
     d = records.where("id is not null").withColumns({"version": F.row_number().over(w), "previous": F.lag("rec_no").over(w), "old": F.lag("text").over(w)})
     return d.select("id", "rec_no", F.col("version").cast("bigint").alias("version"), "previous", F.col("previous").isNotNull() & ~F.col("old").eqNullSafe(F.col("text")).alias("x")).toDF("id", "rec_no", "version", "previous", "text_changed")
+
+
+def text_over_first(records: DataFrame, text: str = "text") -> DataFrame:
+    """Records whose first commentary has the record's own text; other members and commentaries
+    stay as they are, and records without commentaries, too."""
+    over = F.transform("commentaries", lambda c, i: F.when(i == 0, c.withField("text", F.col(text))).otherwise(c))
+    return records.withColumn("commentaries", F.coalesce(over, F.array().cast(records.schema["commentaries"].dataType)))
+
+
+def counters_as_map(counts: DataFrame, by: str, value: str, n: str) -> DataFrame:
+    """``by, counts``: sums per value as one map, sorted by value; null values aren't counted.
+
+    Sums are combined map-side; a map holds distinct values only.
+    """
+    sums = counts.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.sum(n).alias("_n"))
+    return sums.groupBy(by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(value, "_n")))).alias("counts"))

@@ -35,6 +35,20 @@ def centroid_pairs(cent: DataFrame, group: str) -> DataFrame:
     return j.select("group_a", "group_b", F.round("d", 6).alias("distance"))
 
 
+def sparse_pairs(counts: DataFrame, by: str, group: str, dim: str, x: str) -> DataFrame:
+    """``by, group_a, group_b, distance``: cosine distance of each unordered pair of groups of one
+    ``by``, from counts in long form; 1 where two groups share no dimension.
+
+    Groups are few (names); a dimension is joined only within its ``by``.
+    """
+    c = counts.select(by, F.col(group).alias("g"), F.col(dim).alias("i"), F.col(x).cast("double").alias("x"))
+    norms = c.groupBy(by, "g").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    side = lambda d, s: d.select(by, *[F.col(n).alias(f"{'group' if n == 'g' else n}_{s}" if n != "i" else "i") for n in d.columns if n != by])
+    dots = side(c, "a").join(side(c, "b"), [by, "i"]).where("group_a < group_b").groupBy(by, "group_a", "group_b").agg(F.sum(F.col("x_a") * F.col("x_b")).alias("dot"))
+    pairs = side(norms, "a").join(side(norms, "b"), by).where("group_a < group_b").join(dots, [by, "group_a", "group_b"], "left")
+    return pairs.select(by, "group_a", "group_b", F.round(1 - F.coalesce("dot", F.lit(0.0)) / (F.col("norm_a") * F.col("norm_b")), 6).alias("distance"))
+
+
 def rank_disagreement(pairs: DataFrame) -> DataFrame:
     """Per group: mean distance to the others, and the farthest one (ties: the larger)."""
     both = pairs.select(F.inline(F.array(F.struct(F.col("group_a").alias("g"), F.col("group_b").alias("o"), "distance"), F.struct(F.col("group_b").alias("g"), F.col("group_a").alias("o"), "distance"))))
