@@ -94,12 +94,13 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, land: bool) -
     return p
 
 
-def plan(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> list[dict]:
+def plan(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = None, of_corpus: float | None = None) -> list[dict]:
     """Per listed source with documents: share, tokens, wanted copies per document.
 
     Without ``total_tokens`` the mix is the largest at which every source reaches its
     share within its cap.  Shares of sources without documents go to the others in
-    proportion.  With a total that is too large, sources stop at their caps.
+    proportion.  With a total that is too large, sources stop at their caps.  ``of_corpus``
+    states the total as a multiple of the tokens of those sources.
     """
     have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     rows = [r.asDict() for r in targets.groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats")).join(have, "source", "left").collect()]
@@ -107,6 +108,8 @@ def plan(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = None
     share = sum(r["target_share"] for r in live)
     for r in live:
         r["share"] = r["target_share"] / share
+    if of_corpus is not None:
+        total_tokens = of_corpus * sum(r["tokens"] for r in live)
     if total_tokens is None:
         total_tokens = min((r["tokens"] * r["max_repeats"] / r["share"] for r in live), default=0.0)
     for r in live:
@@ -126,7 +129,7 @@ def _settle(seed: int, level: int, land: bool) -> Callable[[tuple, pd.DataFrame]
     return settle
 
 
-def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, seed: int = 42, key: str = "doc_id", tokenizer: str = TOKENIZER) -> DataFrame:
+def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, seed: int = 42, key: str = "doc_id", tokenizer: str = TOKENIZER, of_corpus: float | None = None) -> DataFrame:
     """``doc_id, source, n_tokens, copies`` of every document in the mix (copies > 0).
 
     Documents of a null or unlisted source and texts without a token are not mixed;
@@ -134,7 +137,7 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None
     """
     spark = docs.sparkSession
     sizes = stage(token_counts(docs, tokenizer).where("source is not null and n_tokens > 0").select(F.col(key).cast("bigint").alias("doc_id"), "source", "n_tokens"), "sizes")
-    rows = plan(sizes, targets, total_tokens)
+    rows = plan(sizes, targets, total_tokens, of_corpus)
     schema = "source string, whole bigint, part double, docs bigint"
     frac = lambda c: 0.0 if c - int(c) < _EPS or int(c) + 1 - c < _EPS else c - int(c)
     per = spark.createDataFrame([(r["source"], int(round(r["copies"]) if not frac(r["copies"]) else int(r["copies"])), frac(r["copies"]), r["docs"]) for r in rows], schema)

@@ -117,6 +117,21 @@ def test_mix(spark, monkeypatch, block):
     assert again == {k: r.copies for k, r in rows.items()}
 
 
+def test_a_mix_of_the_size_of_the_corpus_stops_at_caps(spark):
+    """Without a stated total 'few' would set the size; with one it is used to its cap and the others in full."""
+    rows = [(i, "few" if i < 5 else "many" if i < 85 else "rest", f"text {i} " * (3 + i % 4)) for i in range(125)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    t = spark.createDataFrame([("few", 0.5, 3), ("many", 0.25, 1), ("rest", 0.25, 2), ("none", 0.5, 9)], "source string, target_share double, max_repeats int")
+    sizes = M.token_counts(docs).groupBy("source").agg({"n_tokens": "sum"}).collect()
+    have = {r.source: r[1] for r in sizes}
+    total = sum(have.values())
+    got = {r.source: r for r in M.shares(M.mixed(docs, t, of_corpus=1.0), t).collect()}
+    assert got["few"].tokens == 3 * have["few"] < 0.5 * total and got["few"].most_copies == 3
+    for s, cap in (("many", 1), ("rest", 2)):
+        assert abs(got[s].tokens - 0.25 * total) < 60 and got[s].most_copies <= cap
+    assert got["none"].tokens == 0 and abs(sum(r.reached_share for r in got.values()) - 1) < 1e-5
+
+
 def test_mix_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id bigint, source string, text string")
     t = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
