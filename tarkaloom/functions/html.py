@@ -41,5 +41,27 @@ def links(html: Column, pattern: str = ".*") -> Column:
     return F.filter(found, lambda u: u.rlike(pattern))
 
 
+def links_first_seen(html: Column, pattern: str = ".*") -> Column:
+    """Each target once, where it appears first."""
+    return F.array_distinct(links(html, pattern))
+
+
+def sections(html: Column, level: str = "h[1-3]") -> Column:
+    """``array<struct<header, text>>``: each header with the text up to the next header or rule; text
+    before the first header has an empty one, and a section without text an empty text."""
+    body = without(html, ["script", "style", "head"])
+    marked = F.regexp_replace(F.regexp_replace(body, r"(?is)<hr\b[^>]*>", "\u0001\u0002"), rf"(?is)<({level})\b[^>]*>(.*?)</\1\s*>", "\u0001$2\u0002")
+    inner = lambda c: F.trim(F.regexp_replace(unescape(F.regexp_replace(c, r"(?s)<[^>]*>", " ")), r"\s+", " "))
+    parts = F.split(F.concat(F.lit("\u0002"), marked), "\u0001", -1)
+    cut = F.transform(parts, lambda p: F.struct(inner(F.substring_index(p, "\u0002", 1)).alias("header"), inner(F.substring_index(p, "\u0002", -1)).alias("text")))
+    return F.filter(cut, lambda s: (s["header"] != "") | (s["text"] != ""))
+
+
+def page_record(html: Column, least: int = 50) -> Column:
+    """``struct<title, text, sections>`` of a page; null where its running text is shorter than ``least``."""
+    text = F.array_join(paragraphs(html), "\n")
+    return F.when(F.length(text) >= least, F.struct(title(html).alias("title"), text.alias("text"), sections(html).alias("sections")))
+
+
 def contains_fragment(html: Column, fragment: str) -> Column:
     return F.lower(html).contains(fragment.lower())
