@@ -69,6 +69,26 @@ def pair_markdown(edges: DataFrame) -> DataFrame:
     return b.select("concept_lo", "concept_hi", "school", line.alias("line"))
 
 
+def display(c: Column, names: dict[str, str]) -> Column:
+    """The name to show for a value: the one given, else its words in capitals."""
+    own = F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
+    if not names:
+        return own
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), c), own)
+
+
+def pair_pages(edges: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``concept_lo, concept_hi, n_schools, page``: a Markdown page per contested pair, a heading with a
+    line for each school, in the order of their keys.
+
+    Schools name at most one line each, so a page is bounded by their number.
+    """
+    lines = pair_markdown(edges).withColumn("line", F.replace("line", F.concat(F.lit("**"), "school", F.lit("**")), F.concat(F.lit("**"), display(F.col("school"), names), F.lit("**"))))
+    g = lines.groupBy("concept_lo", "concept_hi").agg(F.array_sort(F.collect_list(F.struct("school", "line"))).alias("ls"))
+    heading = F.concat(F.lit("### "), "concept_lo", F.lit(" and "), "concept_hi", F.lit("\n\n"))
+    return g.select("concept_lo", "concept_hi", F.size("ls").cast("bigint").alias("n_schools"), F.concat(heading, F.array_join(F.transform("ls", lambda x: x["line"]), "\n")).alias("page"))
+
+
 def relation_profile(edges: DataFrame, by: str, min_edges: int = 20, exclude_general: bool = False) -> DataFrame:
     """Share of each relation of the vocabulary within each group, zero-filled."""
     e = edges.where(F.col(by).isNotNull() & (F.col(by) != ""))

@@ -11,6 +11,10 @@ from tarkaloom.operators.ordered import number_rows
 from tarkaloom.plans.session import table
 
 
+# Schools whose shown name isn't their key in capitals.
+NAMES = {"achintya_bhedabheda": "Achintya Bhedabheda", "neo_vedanta": "Neo-Vedanta", "jain_common": "Jain (common)"}
+
+
 def _q(f):
     return lambda spark, sf_dir: f(table(spark, sf_dir, "graph_edge"))
 
@@ -81,6 +85,7 @@ QUERIES = {
     "first_evidence": _q(E.first_evidence),
     "best_evidence": _q(E.best_evidence),
     "pair_markdown": _q(E.pair_markdown),
+    "pair_pages": _q(lambda e: E.pair_pages(e, NAMES)),
     "relation_profile_school": _q(lambda e: E.relation_profile(e, "school", exclude_general=True)),
     "relation_profile_text": _q(lambda e: E.relation_profile(e, "source_text")),
     "small_groups": _q(lambda e: E.small_groups(e, "source_text", 200)),
@@ -103,6 +108,10 @@ SQL = {
     "pair_markdown": _P
     + """select concept_lo, concept_hi, school, '**' || school || '** (' || n_edges || case when n_edges = 1 then ' passage): ' else ' passages): ' end
       || concept_lo || ' ' || relation || ' ' || concept_hi || '. "' || quote || '"' as line from best semi join contested using (concept_lo, concept_hi) where quote <> ''""",
+    "pair_pages": _P
+    + f"""select concept_lo, concept_hi, count(*) as n_schools, '### ' || concept_lo || ' and ' || concept_hi || chr(10) || chr(10) || string_agg('**' || case school {" ".join(f"when '{k}' then '{v}'" for k, v in NAMES.items())}
+        else array_to_string(list_transform(string_split(school, '_'), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') end || '** (' || n_edges || case when n_edges = 1 then ' passage): ' else ' passages): ' end
+      || concept_lo || ' ' || relation || ' ' || concept_hi || '. "' || quote || '"', chr(10) order by school) as page from best semi join contested using (concept_lo, concept_hi) where quote <> '' group by 1, 2""",
     "relation_profile_school": _PROFILE.format(by="school", general="and school <> 'general'", rels=_IN(RELATIONS)),
     "relation_profile_text": _PROFILE.format(by="source_text", general="", rels=_IN(RELATIONS)),
     "small_groups": "select source_text, count(*) as n_edges from graph_edge group by 1 having count(*) < 200",
