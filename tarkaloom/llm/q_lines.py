@@ -41,4 +41,8 @@ QUERIES = {"p4_found": p4_found, "p4_report": p4_report, "p4_clean": p4_clean}
 SQL = {
     "p4_found": _SQL + "select doc_id, line_no from found",
     "p4_report": _SQL + "select source, line_key, n_docs, source_docs, count(*) as n_lines from found group by all",
+    "p4_clean": _SQL
+    + """, gone as (select doc_id, list(distinct line_no) as gone from found group by 1)
+      select doc_id, case when gone is null then text else array_to_string(list_transform(list_filter(range(len(l)), lambda i: not list_contains(gone, i)), lambda i: l[i + 1]), chr(10)) end as text, coalesce(len(gone), 0) as n_removed
+      from (select doc_id, text, string_split(text, chr(10)) as l from documents) left join gone using (doc_id)""",
 }
