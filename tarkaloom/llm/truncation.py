@@ -8,10 +8,11 @@
    * A quote meets the records that it cites (which confirm it): its bands are its least
      hashes, so many that any holder must share one.
    * Texts of records, and quotes that no cited record holds, meet all texts and
-     commentaries.  A band is a run of shingles: of so many rows that any holder
-     has one of the runs in one piece (:func:`whole_run`); of a quote, which stands word for
-     word or not at all, the min-hash of its longest runs.  Long runs keep stock
-     phrases from being bands.
+     commentaries.  Quotes, which stand word for word or not at all, and texts of few shingles are
+     looked up by a key of the whole value (:func:`asked_hits`): texts give the keys of what stands in them
+     and how it goes on there, and no pair is made, however many texts hold a stock phrase.
+     Other texts meet those that share enough of their rarest shingles (:func:`rare_bands`), so
+     that any holder is met, whatever stands between its parts.
 
    Pairs are aligned: word for word where the value stands in the text as it is, else
    (:func:`alignment`) over the longest chain of common shingles, which must be long
@@ -38,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -68,8 +70,13 @@ LAST_TOKEN = r"(?U)([\p{L}\p{M}]+)$"
 _INSIDE = regex.compile(INSIDE)
 # Outcomes of an alignment, the surer one larger.
 APART, AT_END, WORD_BROKEN, GOES_ON = 0, 1, 2, 3
-# Shingles to a band, and the size of the bitmap that tells which bands are asked for.
-ROWS, BITS = (1, 2, 4, 8, 16), 1 << 23
+# The least size of a bitmap that tells which hashes are asked for, and the power of two of the largest.
+BITS, MOST_BITS = 1 << 23, 29
+# Pieces between the outer ones of a value that is looked up by one key.
+RUN = 20
+_OTHER_SPACE = regex.compile(r"([^\S ])")
+# What may follow a value at the end of a text, which may itself end inside a character.
+_REST = regex.compile(rf"{ELLIPSIS}?[\s�]*")
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -102,19 +109,6 @@ def _shingle_hashes(texts: list[str | None], drop_last: bool, known: dict[str, i
     return sh[inside], text[:n][inside]
 
 
-def _runs(sh: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Of all runs of ``ROWS`` consecutive shingles of one text: rows, hashes, texts."""
-    h = sh
-    for r in ROWS:
-        if r > len(sh):
-            return
-        if r > 1:
-            half = r // 2
-            h = _mix(h[:-half], h[half:] * np.uint64(0xC2B2AE3D27D4EB4F))
-        inside = text[: len(h)] == text[r - 1 :]
-        yield r, h[inside], text[: len(h)][inside]
-
-
 def _by_text(h: np.ndarray, text: np.ndarray, n: int) -> pd.Series:
     """Hashes as one array per text; ``text`` is sorted."""
     return pd.Series(np.split(h, np.searchsorted(text, np.arange(1, n))), dtype=object) if n else pd.Series([], dtype=object)
@@ -172,49 +166,187 @@ def quote_bands(quotes: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def value_bands(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Bands of values: all runs of as many rows as every holder has in one piece; of a value that
-    is held word for word or not at all the min-hash of its longest runs."""
+    """The shingles of values in order.  A value that is held word for word may begin inside a word,
+    so its first shingle is left out where there is another one."""
     known: dict[str, int] = {}
     for texts, exact in batches:
-        sh, text = _shingle_hashes(texts.tolist(), True, known)
-        n = np.bincount(text, minlength=len(texts)).tolist()
-        most = [k if one else whole_run(k) for k, one in zip(n, exact, strict=True)]
-        rows = np.array([max((r for r in ROWS if r <= m), default=0) for m in most], np.int64)
-        parts = [(h[rows[t] == r], t[rows[t] == r]) for r, h, t in _runs(sh, text)] or [(sh, text)]
-        h, t = _distinct(np.concatenate([h for h, _ in parts]), np.concatenate([t for _, t in parts]))
-        first = np.ones(len(t), bool)
-        first[1:] = t[1:] != t[:-1]
-        kept = first | ~exact.to_numpy(dtype=bool)[t]
-        yield _by_text(h[kept].view(np.int64), t[kept], len(texts))
-
-
-def _bit(h: Column) -> Column:
-    return h.bitwiseAND(F.lit(BITS - 1))
-
-
-def asked_bands(bands: DataFrame, h: str = "h"):
-    """A column function: the runs of shingles of a text that are likely among ``bands``.
-
-    What is sent to the executors is a bitmap of ``BITS`` bits, made by Spark, whatever
-    the number of bands; with more of them more runs pass in vain.
-    """
+        h, text = _shingle_hashes(texts.tolist(), True, known)
+        first = np.ones(len(text), bool)
+        first[1:] = text[1:] != text[:-1]
+        last = np.append(first[1:], True)[: len(text)]
+        kept = ~first | last | ~exact.to_numpy(dtype=bool)[text]
+        yield _by_text(h[kept].view(np.int64), text[kept], len(texts))
+
+
+def _pieces(text: str) -> list[str]:
+    """What stands between single spaces; other white space ends a piece and belongs to it."""
+    return (_OTHER_SPACE.sub(r"\1 ", text) if _OTHER_SPACE.search(text) else text).split(" ")
+
+
+def _starts(piece: str) -> np.ndarray:
+    """A hash of each beginning of a piece, the shortest first."""
+    h, out = 0, []
+    for c in piece:
+        h = (h ^ ord(c)) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+        h ^= h >> 29
+        out.append(h)
+    return np.array(out, np.uint64)
+
+
+class _Pieces:
+    """The distinct pieces that a worker has met, by number, with the hashes of their parts."""
+
+    def __init__(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.names: list[str] = []
+        self.hashes: list[tuple[int, int, int]] = []
+        self.table = np.empty((0, 3), np.uint64)
+        self.parts: dict[tuple[int, bool], np.ndarray] = {}
+        self.after: dict[int, np.ndarray] = {}
+
+    def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of texts as numbers, and the text of each."""
+        if len(self.names) > 500_000:
+            self.__init__()
+        out, lengths = [], []
+        for t in texts:
+            ps = _pieces(t)
+            lengths.append(len(ps))
+            for p in ps:
+                k = self.ids.get(p)
+                if k is None:
+                    k = self.ids[p] = len(self.names)
+                    self.names.append(p)
+                    self.hashes.append((xxhash.xxh64_intdigest(p), ord(p[-1:] or " "), ord(p[:1] or " ")))
+                out.append(k)
+        return np.array(out, np.int64), np.repeat(np.arange(len(texts)), lengths)
+
+    def runs(self, ids: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Of all runs of up to ``RUN`` pieces between two others: pieces, places, hashes with the last
+        character before and the first one after."""
+        self.table = np.concatenate([self.table, np.array(self.hashes[len(self.table) :], np.uint64).reshape(-1, 3)])
+        own, end, start = self.table[ids].T
+        h = np.zeros(max(len(ids) - 1, 0), np.uint64)
+        for n in range(1, RUN + 1):
+            size = len(ids) - n - 1
+            if size <= 0:
+                return
+            h = _mix(h[:size], own[n : n + size])
+            if n >= SHINGLE - 1:
+                at = np.flatnonzero(text[:size] == text[n + 1 :])
+                yield n, at, _mix(_mix(h[at], end[at]), start[at + n + 1] + np.uint64(n << 32))
+
+    def ends(self, ids: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of all beginnings (``back``: ends) of pieces: their number each, lengths, hashes."""
+        each = []
+        for k in ids.tolist():
+            got = self.parts.get((k, back))
+            if got is None:
+                got = self.parts[k, back] = _starts(self.names[k][::-1] if back else self.names[k])
+            each.append(got)
+        n = np.array([len(x) for x in each], np.int64)
+        every = np.concatenate([np.empty(0, np.uint64), *each])
+        return n, np.arange(len(every)) - np.repeat(np.cumsum(n) - n, n) + 1, every
+
+    def outcome(self, k: int) -> np.ndarray:
+        """By the length of a beginning of a piece: how a value ends that ends there (``AT_END`` where the
+        words that follow decide)."""
+        got = self.after.get(k)
+        if got is None:
+            w = self.names[k]
+            got = self.after[k] = np.array([WORD_BROKEN if _INSIDE.match(w, q) else AT_END if _REST.fullmatch(w, q) else GOES_ON for q in range(len(w) + 1)], np.int8)
+        return got
+
+
+@F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in ("first", "part", "whole")]))
+def run_keys(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Keys of values of few pieces: of the run between the outer ones, of it with the first one, and of
+    the whole value.  Null for longer values."""
+    known = _Pieces()
+    for s in batches:
+        ids, text = known.number(s.tolist())
+        size = np.bincount(text, minlength=len(s))
+        keys: list[list[int | None]] = [[None] * len(s) for _ in range(3)]
+        for n, at, h in known.runs(ids, text):
+            whole = size[text[at]] == n + 2
+            for i, first in zip(at[whole].tolist(), h[whole].reshape(-1, 1), strict=True):
+                k = text[i]
+                before, after = known.names[ids[i]], known.names[ids[i + n + 1]]
+                if before and after:
+                    part = _mix(first, _starts(before[::-1])[-1:])
+                    for c, x in zip(keys, (first, part, _mix(part, _starts(after)[-1:])), strict=True):
+                        c[k] = int(x.view(np.int64)[0])
+        # (a list with nulls would pass through floating-point numbers)
+        yield pd.DataFrame({c: pd.array(k, "Int64") for c, k in zip(("first", "part", "whole"), keys, strict=True)})
+
+
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """A bitmap of the ``h`` in it, made by Spark: ``BITS`` bits at least, and eight for each hash."""
+    bits = 1 << min(max(hashes.count() * 8 - 1, BITS - 1).bit_length(), MOST_BITS)
     # numbers of a bitmap run from 1
-    maps = bands.select((_bit(F.col(h)) + 1).alias("bit")).distinct().groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    bitmap = np.zeros(BITS, bool)
-    for r in maps.collect():
-        bitmap[(r.k - 1) << 15 : r.k << 15] = np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little")
-    shared = bands.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def runs(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, int] = {}
-        asked = np.unpackbits(shared.value).astype(bool)
-        for s in texts:
-            hits = [(h[is_in], t[is_in]) for _, h, t in _runs(*_shingle_hashes(s.tolist(), False, known)) for is_in in [asked[h & np.uint64(BITS - 1)]]]
-            h, t = _distinct(np.concatenate([np.empty(0, np.uint64), *(h for h, _ in hits)]), np.concatenate([np.empty(0, np.int64), *(t for _, t in hits)]))
-            yield _by_text(h.view(np.int64), t, len(s))
-
-    return runs
+    bit = (F.col("h").bitwiseAND(F.lit(bits - 1)) + 1).alias("bit")
+    maps = hashes.select(bit).distinct().groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    out = np.zeros(bits >> 3, np.uint8)
+    for r in maps.toLocalIterator():
+        out[(r.k - 1) << 12 : r.k << 12] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def _asked(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h & np.uint64(len(bitmap) * 8 - 1)
+    return bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+
+def _stands(known: _Pieces, texts: list[str], bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole keys of the values that stand in texts, and how they end there: a run that is asked
+    for is tried with all ends of the piece before it and all beginnings of the one after it."""
+    ids, text = known.number(texts)
+    keys, states = [np.empty(0, np.uint64)], [np.empty(0, np.int8)]
+    for n, at, h in known.runs(ids, text):
+        is_in = _asked(bitmap, h)
+        at, h = at[is_in], h[is_in]
+        size, _, part = known.ends(ids[at], True)
+        at, h = np.repeat(at, size), _mix(np.repeat(h, size), part)
+        is_in = _asked(bitmap, h)
+        at, h = at[is_in] + n + 1, h[is_in]
+        size, length, part = known.ends(ids[at], False)
+        at, h = np.repeat(at, size), _mix(np.repeat(h, size), part)
+        is_in = _asked(bitmap, h)
+        at, h, length = at[is_in], h[is_in], length[is_in]
+        state = np.array([known.outcome(k)[q] for k, q in zip(ids[at].tolist(), length.tolist(), strict=True)], np.int8)
+        more = np.append(text, -1)[at + 1] == text[at]
+        keys.append(h)
+        states.append(np.where((state == AT_END) & more, GOES_ON, state).astype(np.int8))
+    return np.concatenate(keys), np.concatenate(states)
+
+
+def asked_hits(bodies: DataFrame, bands: DataFrame, runs: DataFrame) -> DataFrame:
+    """``h, b, state``: the shingles of texts ``b`` that are likely among ``bands`` (no state), and the keys
+    likely among ``runs`` with the surest state of each in some texts (no ``b``).
+
+    What is sent to the executors are two bitmaps.
+    """
+    sc = bodies.sparkSession.sparkContext
+    shared = sc.broadcast((_bitmap(bands), _bitmap(runs)))
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[str, int] = {}
+        pieces = _Pieces()
+        in_bands, in_runs = shared.value
+        for batch in batches:
+            texts, keys = batch.column("text").to_pylist(), batch.column("text_key").to_numpy()
+            h, t = _shingle_hashes(texts, False, words)
+            is_in = _asked(in_bands, h)
+            h, t = _distinct(h[is_in], t[is_in])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[t]), pa.nulls(len(h), pa.int8())], names=["h", "b", "state"])
+            k, state = _stands(pieces, texts, in_runs)
+            order = np.lexsort((-state, k))
+            k, state = k[order], state[order]
+            new = np.ones(len(k), bool)
+            new[1:] = k[1:] != k[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(k[new].view(np.int64)), pa.nulls(int(new.sum()), pa.int64()), pa.array(state[new])], names=["h", "b", "state"])
+
+    return bodies.select("text_key", "text").mapInArrow(hits, "h long, b long, state byte")
 
 
 def _chain(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -322,20 +454,49 @@ def _verbatim(value: str, text: str) -> Column:
     return F.when(after.rlike(r"(?U)^(?:\s[\p{L}\p{N}]|[,;:!?।॥])"), GOES_ON).when(whole, GOES_ON).when(marked.rlike(rf"(?U)\u0002{INSIDE}"), WORD_BROKEN).otherwise(AT_END)
 
 
+def rare_bands(values: DataFrame) -> DataFrame:
+    """``text_key, h, need``: the shingles of each value that the fewest values have, and how many of
+    them every holder shares.
+
+    Of ``n`` shingles a holder may miss ``n_bands(n) - 1``, and the first one where it holds the value
+    word for word from inside a word (which those that are ``short`` are looked up for by their keys); so it
+    has all but as many of whatever ones are taken.  The
+    more of them, the fewer pairs are compared in vain.
+    """
+    n = F.size("bands")
+    lost = F.when(F.col("exact") | F.col("short") | (n < 2), 0).otherwise(F.greatest(F.floor(n * (1 - CONTAINED) + 1e-9).cast("int"), F.lit(1)))
+    v = values.select("text_key", lost.alias("lost"), F.greatest(F.floor(n / 8).cast("int") + 1, F.lit(2)).alias("more"), F.array_distinct("bands").alias("bands"))
+    each = v.select("text_key", "lost", "more", F.explode("bands").alias("h"))
+    counted = each.join(each.groupBy("h").agg(F.count("*").alias("n")), "h")
+    ranked = counted.groupBy("text_key").agg(F.max("lost").alias("lost"), F.max("more").alias("more"), F.sort_array(F.collect_list(F.struct("n", "h"))).alias("all"))
+    taken = F.slice("all", F.lit(1), F.col("lost") + F.col("more"))
+    need = F.greatest(F.size("taken") - F.col("lost"), F.lit(1))
+    return ranked.withColumn("taken", taken).select("text_key", need.alias("need"), F.explode("taken.h").alias("h"))
+
+
 def cut_copies(values: DataFrame, bodies: DataFrame) -> DataFrame:
     """``text_key, state`` of values that some other text holds.
 
     ``values``: distinct ``text_key, text, exact`` that may be cut (``exact``: held word for word
-    or not at all).  ``bodies``: distinct ``text_key, text`` that may hold them.  Each pair
-    of a common band is aligned; a value that stands in the text as it is needs no more than
-    that.  ``state`` is the surest outcome of all; values without a shingle or a holder
-    give no row.
+    or not at all).  ``bodies``: distinct ``text_key, text`` that may hold them.  What stands word
+    for word in a text and goes on there is settled by its key; each pair of other values with enough
+    common bands is aligned; a value that stands in the text as it is needs no more than that.
+    ``state`` is the surest outcome of all; values without a shingle or a holder give no row, nor do
+    those looked up by their key only that just stand at the ends of texts.
     """
-    v = stage(values.withColumn("bands", value_bands("text", "exact")).where(F.size("bands") > 0), "values")
-    bands = v.select("text_key", F.explode("bands").alias("h"))
-    likely = asked_bands(bands)
-    hits = bodies.select(F.col("text_key").alias("b"), F.explode(likely("text")).alias("h"))
-    pairs = bands.join(hits, "h").where("b <> text_key").select("text_key", "b").distinct()
+    # a text may end inside a character, which no holder has
+    ends = F.when(F.col("exact"), F.col("text")).otherwise(F.rtrim(F.col("text"), F.lit("�")))
+    v = values.withColumns({"bands": value_bands("text", "exact"), "run": run_keys(ends)}).where(F.size("bands") > 0)
+    v = stage(v.withColumn("short", F.col("run.whole").isNotNull() & (F.col("exact") | (F.size("bands") < SHINGLE))), "values")
+    keys = v.where("short").select("text_key", F.col("run.whole").alias("h"), "run")
+    # a value that its key settles word for word needs no pairs
+    bands = stage(rare_bands(v.where("not (short and exact)")), "bands")
+    steps = F.explode(F.array("run.first", "run.part", "run.whole")).alias("h")
+    hits = stage(asked_hits(bodies, bands.select("h"), keys.select(steps)), "hits")
+    stood = stage(keys.select("text_key", "h").join(hits.where("state is not null").groupBy("h").agg(F.max("state").cast("int").alias("state")), "h").where(F.col("state") > AT_END).select("text_key", "state"), "stood")
+    open_bands = bands.join(stood, "text_key", "left_anti")
+    shared = open_bands.join(hits.where("state is null").select("h", "b"), "h").where("b <> text_key").groupBy("text_key", "b").agg(F.count("*").alias("n"), F.first("need").alias("need"))
+    pairs = shared.where("n >= need").select("text_key", "b")
     both = pairs.join(v.select("text_key", "text", "exact"), "text_key").join(bodies.select(F.col("text_key").alias("b"), F.col("text").alias("body")), "b")
     here = F.col("body").contains(F.col("text"))
     state = F.when(here, _verbatim("text", "body")).when(F.col("exact"), APART).alias("state")
@@ -343,22 +504,28 @@ def cut_copies(values: DataFrame, bodies: DataFrame) -> DataFrame:
     loose = ~here & ~F.col("exact")
     some = stage(both.select("text_key", state, *[F.when(loose, F.col(c)).alias(c) for c in ("text", "body")]), "aligned")
     more = some.where("state is null").select("text_key", _aligned("text", "body").alias("state"))
-    states = some.where("state is not null").select("text_key", "state").unionByName(more)
+    states = some.where("state is not null").select("text_key", "state").unionByName(more).unionByName(stood)
     return states.where(F.col("state") > APART).groupBy("text_key").agg(F.max("state").alias("state"))
 
 
 def whole_words(texts: DataFrame) -> DataFrame:
     """``token`` of every word that stands before another one in some text.
 
-    Pieces between spaces are made distinct first (map-side), so the pattern that cuts
+    Pieces between spaces are made distinct first (by each task), so the pattern that cuts
     words out of them runs over distinct pieces, not over all texts.
     """
-    # splitting at a single character is cheap, exchanging characters is dear
-    low, other = F.lower("text"), "".join(x for x in WHITE_SPACE if x != " ")
-    low = F.when(low.rlike(f"[{other}]"), F.translate(low, other, " " * len(other))).otherwise(low)
-    pieces = F.split(F.rtrim(low), " ")
-    before = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    piece = texts.select(F.explode(before).alias("piece")).distinct()
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            for t in batch.column("text").to_pylist():
+                seen.update(t.lower().split()[:-1])
+            if len(seen) > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], names=["piece"])
+                seen.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], names=["piece"])
+
+    piece = texts.select("text").mapInArrow(pieces, "piece string").distinct()
     return piece.select(F.explode(F.split("piece", r"(?U)[^\p{L}\p{M}]+")).alias("token")).where("token <> ''").distinct()
 
 
