@@ -154,14 +154,28 @@ def record_shingles(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def quote_bands(quotes: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """The least hashes of each quote's shingles; none if it has no shingle."""
+    """The least hashes of each quote's shingles; none if it has no shingle.
+
+    The first shingle isn't taken where the quote may be held from inside a word and there are others;
+    where it is the only one, a null stands beside it: the quote may be held without it.
+    """
     known: dict[str, int] = {}
     for s in quotes:
-        h, text = _distinct(*_shingle_hashes(s.tolist(), True, known))
+        h, text = _shingle_hashes(s.tolist(), True, known)
+        n = np.bincount(text, minlength=len(s))
+        # from five shingles on there is a second band
+        first = np.ones(len(text), bool)
+        first[1:] = text[1:] != text[:-1]
+        inner = ~first | (n[text] == 1) | (n[text] >= SHINGLE)
+        lone = np.flatnonzero(n == 1).tolist()
+        most = np.array([n_bands(k) for k in n.tolist()])
+        h, text = _distinct(h[inner], text[inner])
         n = np.bincount(text, minlength=len(s))
-        rank = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-        kept = rank < np.repeat([n_bands(k) for k in n.tolist()], n)
-        yield _by_text(_narrow(h[kept]), text[kept], len(s))
+        kept = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n) < most[text]
+        bands = _by_text(_narrow(h[kept]), text[kept], len(s))
+        for k in lone:
+            bands.iat[k] = [int(bands.iat[k][0]), None]
+        yield bands
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -606,8 +620,10 @@ def cited_states(quotes: DataFrame, records: DataFrame, refs: DataFrame) -> Data
     q = quotes.withColumn("bands", quote_bands("quote")).withColumn("short", F.size("bands") == 0)
     j = salted_join(q, held, "ref", "edge_id", "left", keys=refs)
     short = F.col("short")
-    pair = F.coalesce(F.col("body").isNotNull() & short | F.arrays_overlap("bands", "held"), F.lit(False))
-    state = F.when(~pair, APART).when(F.col("body").contains(F.col("quote")), _verbatim("quote", "body")).when(short, APART)
+    stands = F.col("body").contains(F.col("quote"))
+    # (a null band leaves it to the text)
+    pair = F.coalesce(F.col("body").isNotNull() & short | F.coalesce(F.arrays_overlap("bands", "held"), stands), F.lit(False))
+    state = F.when(~pair, APART).when(stands, _verbatim("quote", "body")).when(short, APART)
     j = j.select("edge_id", "source", "quote", F.col("body").alias("_body"), state.alias("state"))
     # (null) pairs that differ somewhere: aligned in full
     loose = F.when(F.col("state").isNull(), F.col("_body"))
