@@ -33,6 +33,7 @@ is cut, "He came. …" is whole).
 
 from __future__ import annotations
 
+import gc
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -654,6 +655,9 @@ def cut_values(records: DataFrame, edges: DataFrame) -> DataFrame:
     coded = quotes.where("code").select("edge_id", "source", F.lit("code").alias("reason"), F.lit(0.0).alias("score"))
     refs = edges.select(_ref("source_record_id").alias("ref"))
     cited = stage(cited_states(quotes.where("not code").drop("code"), recs, refs).where(F.col("state") < GOES_ON), "quotes")
+    # the files of finished shuffles are deleted when the driver collects its garbage
+    gc.collect()
+    records.sparkSession.sparkContext._jvm.System.gc()
     unmatched = cited.where(F.col("state") < WORD_BROKEN).select("edge_id", "source", "quote", F.xxhash64("quote").alias("text_key"))
 
     values = open_texts.select("text_key", "text", F.lit(False).alias("exact")).unionByName(unmatched.select("text_key", F.col("quote").alias("text"), F.lit(True).alias("exact")))
