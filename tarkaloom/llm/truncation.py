@@ -37,6 +37,8 @@ import gc
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -61,9 +63,9 @@ _DOTS = r"(?:…|\.\.|\s\.(?=\s\.))[….\s]*"
 ELLIPSIS = rf"(?:\s*(?:\[\s*{_DOTS}\]|\(\s*{_DOTS}\)|{_DOTS}))"
 END_ELLIPSIS = rf"(?U){ELLIPSIS}[\"'”’»\s]*$"
 # Ends inside a coded character: replacement sign, open entity, open escape.  No match is
-# longer than ``CODE_CHARS``.
+# longer than ``CODE_CHARS``; each begins with one of ``CODE_MARKS``.
 BROKEN_CODE = r"(?U)(�|&(#?[xX]?[0-9A-Za-z]{0,8})|\\(u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?|%[0-9A-Fa-f]?)$"
-CODE_CHARS = 11
+CODE_CHARS, CODE_MARKS = 11, "�&\\%"
 # What stands after a broken word: a letter, or a joining mark and a letter.
 INSIDE = r"[-'’‐]?[\p{L}\p{M}]"
 OPEN_END = r"(?U)[\p{L}\p{M}][-'’‐]?$"
@@ -85,34 +87,55 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _shingle_hashes(texts: list[str | None], drop_last: bool, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+class _Words(dict):
+    """Hashes of the words that a worker has met."""
+
+    def __missing__(self, w: str) -> int:
+        h = self[w] = xxhash.xxh64_intdigest(w)
+        return h
+
+
+class _Numbers(dict):
+    """Numbers of the distinct strings that a worker has met."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+
+    def __missing__(self, w: str) -> int:
+        k = self[w] = len(self.names)
+        self.names.append(w)
+        return k
+
+
+def _looked_up(known: dict, each: list[list[str]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """What ``known`` has for the parts of many texts, and the text of each."""
+    n = list(map(len, each))
+    return np.fromiter(map(known.__getitem__, chain.from_iterable(each)), kind, sum(n)), np.repeat(np.arange(len(each)), n)
+
+
+def _shingles(own: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the five-word shingles of many texts in order, and the text of each; of the hashes and texts of words."""
+    n = max(len(own) - SHINGLE + 1, 0)
+    sh = np.zeros(n, np.uint64)
+    for k in range(SHINGLE):
+        sh = _mix(sh, own[k : k + n])
+    inside = text[:n] == text[SHINGLE - 1 :]
+    return sh[inside], text[:n][inside]
+
+
+def _shingle_hashes(texts: list[str | None], drop_last: bool, known: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the five-word shingles of many texts in order, and the text of each."""
     words = [(t or "").lower().split() for t in texts]
     if drop_last:
         words = [w[:-1] for w in words]
     if len(known) > 500_000:
         known.clear()
-    flat = np.empty(sum(map(len, words)), np.uint64)
-    at = 0
-    for ws in words:
-        for w in ws:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w)
-            flat[at] = h
-            at += 1
-    n = max(len(flat) - SHINGLE + 1, 0)
-    sh = np.zeros(n, np.uint64)
-    for k in range(SHINGLE):
-        sh = _mix(sh, flat[k : k + n])
-    text = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    inside = text[:n] == text[SHINGLE - 1 :]
-    return sh[inside], text[:n][inside]
+    return _shingles(*_looked_up(known, words, np.uint64))
 
 
-def _by_text(h: np.ndarray, text: np.ndarray, n: int) -> pd.Series:
-    """Hashes as one array per text; ``text`` is sorted."""
-    return pd.Series(np.split(h, np.searchsorted(text, np.arange(1, n))), dtype=object) if n else pd.Series([], dtype=object)
+def _by_text(h: np.ndarray, text: np.ndarray, n: int, null: np.ndarray | None = None) -> pa.ListArray:
+    """Hashes as one list per text; ``text`` is sorted.  ``null``: which ones are null."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.array(h, mask=null))
 
 
 def _distinct(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,56 +168,59 @@ def _narrow(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def record_shingles(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    known: dict[str, int] = {}
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def record_shingles(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    known = _Words()
     for s in texts:
-        h, text = _shingle_hashes(s.tolist(), False, known)
+        h, text = _shingle_hashes(s.to_pylist(), False, known)
         yield _by_text(_narrow(h), text, len(s))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def quote_bands(quotes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def quote_bands(quotes: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The least hashes of each quote's shingles; none if it has no shingle.
 
     The first shingle isn't taken where the quote may be held from inside a word and there are others;
     where it is the only one, a null stands beside it: the quote may be held without it.
     """
-    known: dict[str, int] = {}
+    known = _Words()
     for s in quotes:
-        h, text = _shingle_hashes(s.tolist(), True, known)
+        h, text = _shingle_hashes(s.to_pylist(), True, known)
         n = np.bincount(text, minlength=len(s))
         # from five shingles on there is a second band
         first = np.ones(len(text), bool)
         first[1:] = text[1:] != text[:-1]
         inner = ~first | (n[text] == 1) | (n[text] >= SHINGLE)
-        lone = np.flatnonzero(n == 1).tolist()
-        most = np.array([n_bands(k) for k in n.tolist()])
+        lone = np.flatnonzero(n == 1)
+        most = np.array([n_bands(k) for k in range(n.max(initial=0) + 1)])[n]
         h, text = _distinct(h[inner], text[inner])
         n = np.bincount(text, minlength=len(s))
         kept = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n) < most[text]
-        bands = _by_text(_narrow(h[kept]), text[kept], len(s))
-        for k in lone:
-            bands.iat[k] = [int(bands.iat[k][0]), None]
-        yield bands
+        h, text = h[kept], text[kept]
+        after = np.searchsorted(text, lone, side="right")
+        null = np.insert(np.zeros(len(h), bool), after, True)
+        yield _by_text(np.insert(_narrow(h), after, 0), np.insert(text, after, lone), len(s), null)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def value_bands(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def value_bands(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """The shingles of values in order.  A value that is held word for word may begin inside a word,
     so its first shingle is left out where there is another one."""
-    known: dict[str, int] = {}
+    known = _Words()
     for texts, exact in batches:
-        h, text = _shingle_hashes(texts.tolist(), True, known)
+        h, text = _shingle_hashes(texts.to_pylist(), True, known)
         first = np.ones(len(text), bool)
         first[1:] = text[1:] != text[:-1]
         last = np.append(first[1:], True)[: len(text)]
-        kept = ~first | last | ~exact.to_numpy(dtype=bool)[text]
+        kept = ~first | last | ~np.array(exact.to_pylist(), bool)[text]
         yield _by_text(h[kept].view(np.int64), text[kept], len(texts))
 
 
 def _pieces(text: str) -> list[str]:
     """What stands between single spaces; other white space ends a piece and belongs to it."""
+    words = text.split()
+    if words and " ".join(words) == text:  # no other white space
+        return words
     return (_OTHER_SPACE.sub(r"\1 ", text) if _OTHER_SPACE.search(text) else text).split(" ")
 
 
@@ -212,10 +238,13 @@ class _Pieces:
     """The distinct pieces that a worker has met, by number, with the hashes of their parts."""
 
     def __init__(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.names: list[str] = []
-        self.hashes: list[tuple[int, int, int]] = []
+        self.ids = _Numbers()
+        self.names = self.ids.names
+        # hash, last and first character of each piece, and how many words it has (mostly one)
         self.table = np.empty((0, 3), np.uint64)
+        self.n_words = np.empty(0, np.int64)
+        # the hashes of the words of all pieces
+        self.words = np.empty(0, np.uint64)
         self.parts: dict[tuple[int, bool], np.ndarray] = {}
         self.after: dict[int, np.ndarray] = {}
 
@@ -223,33 +252,41 @@ class _Pieces:
         """The pieces of texts as numbers, and the text of each."""
         if len(self.names) > 500_000:
             self.__init__()
-        out, lengths = [], []
-        for t in texts:
-            ps = _pieces(t)
-            lengths.append(len(ps))
-            for p in ps:
-                k = self.ids.get(p)
-                if k is None:
-                    k = self.ids[p] = len(self.names)
-                    self.names.append(p)
-                    self.hashes.append((xxhash.xxh64_intdigest(p), ord(p[-1:] or " "), ord(p[:1] or " ")))
-                out.append(k)
-        return np.array(out, np.int64), np.repeat(np.arange(len(texts)), lengths)
-
-    def runs(self, ids: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Of all runs of up to ``RUN`` pieces between two others: pieces, places, hashes with the last
-        character before and the first one after."""
-        self.table = np.concatenate([self.table, np.array(self.hashes[len(self.table) :], np.uint64).reshape(-1, 3)])
+        out = _looked_up(self.ids, [_pieces(t) for t in texts], np.int64)
+        if new := self.names[len(self.table) :]:
+            rows = [(xxhash.xxh64_intdigest(p), ord(p[-1:] or " "), ord(p[:1] or " ")) for p in new]
+            words = [p.lower().split() for p in new]
+            self.table = np.concatenate([self.table, np.array(rows, np.uint64)])
+            self.n_words = np.concatenate([self.n_words, np.array(list(map(len, words)), np.int64)])
+            self.words = np.concatenate([self.words, np.array([xxhash.xxh64_intdigest(w) for ws in words for w in ws], np.uint64)])
+        return out
+
+    def word_hashes(self, ids: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the words of pieces, and the text of each."""
+        n, begin = self.n_words[ids], (np.cumsum(self.n_words) - self.n_words)[ids]
+        if (n == 1).all():
+            return self.words[begin], text
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return self.words[np.repeat(begin, n) + at], np.repeat(text, n)
+
+    def runs(self, ids: np.ndarray, text: np.ndarray, bitmap: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of all runs of ``SHINGLE`` - 1 to ``RUN`` pieces between two others: pieces, places, hashes, and hashes with
+        the last character before and the first one after.  ``bitmap``: only those whose least beginning is asked for."""
+        size = len(ids) - SHINGLE
+        if size <= 0:
+            return
         own, end, start = self.table[ids].T
-        h = np.zeros(max(len(ids) - 1, 0), np.uint64)
-        for n in range(1, RUN + 1):
-            size = len(ids) - n - 1
-            if size <= 0:
-                return
-            h = _mix(h[:size], own[n : n + size])
-            if n >= SHINGLE - 1:
-                at = np.flatnonzero(text[:size] == text[n + 1 :])
-                yield n, at, _mix(_mix(h[at], end[at]), start[at + n + 1] + np.uint64(n << 32))
+        h = np.zeros(size, np.uint64)
+        for n in range(1, SHINGLE):
+            h = _mix(h, own[n : n + size])
+        is_in = text[:size] == text[SHINGLE:]
+        at = np.flatnonzero(is_in if bitmap is None else is_in & _asked(bitmap, h))
+        h = h[at]
+        for n in range(SHINGLE - 1, RUN + 1):
+            yield n, at, h, _mix(_mix(h, end[at]), start[at + n + 1] + np.uint64(n << 32))
+            at, h = at[more := at + n + 2 < len(ids)], h[more]
+            at, h = at[more := text[at] == text[at + n + 2]], h[more]
+            h = _mix(h, own[at + n + 1])
 
     def ends(self, ids: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of all beginnings (``back``: ends) of pieces: their number each, lengths, hashes."""
@@ -273,26 +310,32 @@ class _Pieces:
         return got
 
 
-@F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in ("first", "part", "whole")]))
-def run_keys(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Keys of values of few pieces: of the run between the outer ones, of it with the first one, and of
-    the whole value.  Null for longer values."""
+STEPS = ("begin", "first", "part", "whole")
+
+
+@F.arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in STEPS]))
+def run_keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Keys of values of few pieces: of the beginning of the run between the outer ones, of the whole run, of it
+    with the first one, and of the whole value.  Null for longer values."""
     known = _Pieces()
     for s in batches:
-        ids, text = known.number(s.tolist())
+        ids, text = known.number(s.to_pylist())
         size = np.bincount(text, minlength=len(s))
-        keys: list[list[int | None]] = [[None] * len(s) for _ in range(3)]
-        for n, at, h in known.runs(ids, text):
+        keys: list[list[int | None]] = [[None] * len(s) for _ in STEPS]
+        begins: dict[int, int] = {}
+        for n, at, run, h in known.runs(ids, text):
+            if not begins:
+                begins = dict(zip(at.tolist(), run.view(np.int64).tolist(), strict=True))
             whole = size[text[at]] == n + 2
             for i, first in zip(at[whole].tolist(), h[whole].reshape(-1, 1), strict=True):
                 k = text[i]
                 before, after = known.names[ids[i]], known.names[ids[i + n + 1]]
                 if before and after:
                     part = _mix(first, _starts(before[::-1])[-1:])
-                    for c, x in zip(keys, (first, part, _mix(part, _starts(after)[-1:])), strict=True):
+                    keys[0][k] = begins[i]
+                    for c, x in zip(keys[1:], (first, part, _mix(part, _starts(after)[-1:])), strict=True):
                         c[k] = int(x.view(np.int64)[0])
-        # (a list with nulls would pass through floating-point numbers)
-        yield pd.DataFrame({c: pd.array(k, "Int64") for c, k in zip(("first", "part", "whole"), keys, strict=True)})
+        yield pa.StructArray.from_arrays([pa.array(k, pa.int64()) for k in keys], names=list(STEPS))
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -312,12 +355,11 @@ def _asked(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
-def _stands(known: _Pieces, texts: list[str], bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whole keys of the values that stand in texts, and how they end there: a run that is asked
+def _stands(known: _Pieces, ids: np.ndarray, text: np.ndarray, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole keys of the values that stand in texts of given pieces, and how they end there: a run that is asked
     for is tried with all ends of the piece before it and all beginnings of the one after it."""
-    ids, text = known.number(texts)
     keys, states = [np.empty(0, np.uint64)], [np.empty(0, np.int8)]
-    for n, at, h in known.runs(ids, text):
+    for n, at, _, h in known.runs(ids, text, bitmap):
         is_in = _asked(bitmap, h)
         at, h = at[is_in], h[is_in]
         size, _, part = known.ends(ids[at], True)
@@ -345,16 +387,16 @@ def asked_hits(bodies: DataFrame, bands: DataFrame, runs: DataFrame) -> DataFram
     shared = sc.broadcast((_bitmap(bands), _bitmap(runs)))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, int] = {}
         pieces = _Pieces()
         in_bands, in_runs = shared.value
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("text_key").to_numpy()
-            h, t = _shingle_hashes(texts, False, words)
+            ids, text = pieces.number(texts)
+            h, t = _shingles(*pieces.word_hashes(ids, text))
             is_in = _asked(in_bands, h)
             h, t = _distinct(h[is_in], t[is_in])
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[t]), pa.nulls(len(h), pa.int8())], names=["h", "b", "state"])
-            k, state = _stands(pieces, texts, in_runs)
+            k, state = _stands(pieces, ids, text, in_runs)
             order = np.lexsort((-state, k))
             k, state = k[order], state[order]
             new = np.ones(len(k), bool)
@@ -506,7 +548,7 @@ def cut_copies(values: DataFrame, bodies: DataFrame) -> DataFrame:
     keys = v.where("short").select("text_key", F.col("run.whole").alias("h"), "run")
     # a value that its key settles word for word needs no pairs
     bands = stage(rare_bands(v.where("not (short and exact)")), "bands")
-    steps = F.explode(F.array("run.first", "run.part", "run.whole")).alias("h")
+    steps = F.explode(F.array(*[f"run.{c}" for c in STEPS])).alias("h")
     hits = stage(asked_hits(bodies, bands.select("h"), keys.select(steps)), "hits")
     stood = stage(keys.select("text_key", "h").join(hits.where("state is not null").groupBy("h").agg(F.max("state").cast("int").alias("state")), "h").where(F.col("state") > AT_END).select("text_key", "state"), "stood")
     open_bands = bands.join(stood, "text_key", "left_anti")
@@ -593,6 +635,26 @@ def _filled(df: DataFrame, c: str) -> DataFrame:
     return df.where(F.col(c).rlike(r"(?U)\S"))
 
 
+def _settled(df: DataFrame, c: str) -> DataFrame:
+    """``df`` with ``c`` as the output of a generator: a filter on it is not moved below, where Spark would
+    put the whole expression of ``c`` into it, once for each mention of the columns that it is made of."""
+    return df.select(*[x for x in df.columns if x != c], F.explode(F.array(c)).alias(c))
+
+
+def record_texts(records: DataFrame) -> DataFrame:
+    """``row_key, source, text, text_key, stopped`` of filled texts, without a final ellipsis."""
+    texts = _filled(records, "text").select(F.col("rec_no").cast("string").alias("row_key"), "source", without_ellipsis(strip_ws(F.col("text"))).alias("text"))
+    return _settled(texts.withColumns({"text_key": F.xxhash64("text"), "stopped": _stopped(F.col("text"))}), "stopped")
+
+
+def edge_quotes(edges: DataFrame) -> DataFrame:
+    """``edge_id, source, ref, quote, end`` of filled quotes, without a final ellipsis.  ``end``: ``code`` inside a
+    coded character, else ``open`` after a letter, else empty."""
+    quotes = _filled(edges, "evidence_quote").select("edge_id", F.col("source_text").alias("source"), _ref("source_record_id").alias("ref"), without_ellipsis(strip_ws(F.col("evidence_quote"))).alias("quote"))
+    end = F.when(_broken_code(F.col("quote")), "code").when(F.right("quote", F.lit(2)).rlike(OPEN_END), "open").otherwise("")
+    return _settled(quotes.withColumn("end", end), "end")
+
+
 def record_bodies(records: DataFrame) -> DataFrame:
     """All texts of records and their commentaries, without a final ellipsis: ``text``."""
     own = records.select("text")
@@ -644,17 +706,15 @@ def cut_values(records: DataFrame, edges: DataFrame) -> DataFrame:
     repeated record row is reported each time, an edge once per id.
     """
     recs = records.select("rec_no", "source", "text", "commentaries", "id", "_original_id")
-    texts = _filled(recs, "text").select(F.col("rec_no").cast("string").alias("row_key"), "source", without_ellipsis(strip_ws(F.col("text"))).alias("text"))
-    texts = texts.withColumns({"text_key": F.xxhash64("text"), "stopped": _stopped(F.col("text"))})
+    texts = record_texts(recs)
     open_texts = stage(texts.where("not stopped"), "open_texts")
     bodies = stage(record_bodies(recs).distinct().withColumn("text_key", F.xxhash64("text")), "texts")
 
-    quotes = _filled(edges, "evidence_quote").select("edge_id", F.col("source_text").alias("source"), _ref("source_record_id").alias("ref"), without_ellipsis(strip_ws(F.col("evidence_quote"))).alias("quote"))
-    open_end = F.right("quote", F.lit(2)).rlike(OPEN_END)
-    quotes = quotes.where(open_end | _broken_code(F.col("quote"))).withColumn("code", _broken_code(F.col("quote")))
-    coded = quotes.where("code").select("edge_id", "source", F.lit("code").alias("reason"), F.lit(0.0).alias("score"))
-    refs = edges.select(_ref("source_record_id").alias("ref"))
-    cited = stage(cited_states(quotes.where("not code").drop("code"), recs, refs).where(F.col("state") < GOES_ON), "quotes")
+    # (a look for marks is cheaper than a second pass over all quotes)
+    marked = reduce(Column.__or__, [F.contains("evidence_quote", F.lit(m)) for m in CODE_MARKS])
+    coded = edge_quotes(edges.where(marked)).where("end = 'code'").select("edge_id", "source", F.lit("code").alias("reason"), F.lit(0.0).alias("score"))
+    refs = _settled(edges.select(_ref("source_record_id").alias("ref")), "ref")
+    cited = stage(cited_states(edge_quotes(edges).where("end = 'open'").drop("end"), recs, refs).where(F.col("state") < GOES_ON), "quotes")
     # the files of finished shuffles are deleted when the driver collects its garbage
     gc.collect()
     records.sparkSession.sparkContext._jvm.System.gc()
@@ -666,7 +726,7 @@ def cut_values(records: DataFrame, edges: DataFrame) -> DataFrame:
     tails = open_texts.select("text").unionByName(unmatched.select(F.col("quote").alias("text")))
     asked = tails.select(_last_token(F.col("text")).alias("token")).where("token <> ''").distinct()
     known = stage(asked.join(whole_words(bodies), "token", "left_semi"), "known")
-    once = stage(texts.select("text_key", "text", "stopped").dropDuplicates(["text_key"]), "distinct_texts")
+    once = stage(texts.select("text_key", "text", "stopped").distinct(), "distinct_texts")
     closers = stage(terminality(once, known), "terminality")
 
     t = open_texts.withColumn("token", _last_token(F.col("text")))

@@ -219,3 +219,31 @@ def test_a_copy_may_skip_between_like_words(spark):
     v = spark.createDataFrame(values, schema).withColumn("exact", X.F.lit(False))
     got = {r.text_key: r.state for r in X.cut_copies(v, spark.createDataFrame(bodies, schema)).collect()}
     assert got == dict.fromkeys((1, 2, 3), X.WORD_BROKEN)
+
+
+def test_marks_are_looked_at_once(spark, monkeypatch):
+    seen, stage = {}, X.stage
+    monkeypatch.setattr(X, "stage", lambda df, name: seen.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and stage(df, name))
+    records = spark.createDataFrame([(1, "s", "r_1", None, "The mirror is known by the see… ", "clash", com("x"))], REC)
+    X.cut_values(records, spark.createDataFrame([("a", "s", "r_1", "The mirror is known by the ...", "x")], EDGE)).collect()
+    # the ellipsis of a text or quote is taken off in one place of the plan, not again in each filter
+    assert seen["open_texts"].count("regexp_replace(") == 1
+    assert seen["cited"].count("regexp_replace(") == 1
+
+
+def test_pieces_give_words_and_asked_runs():
+    texts = ["", "a", "one  two three\nfour five six seven\x1ceight nine", "ΑΣ ΒΣ İ one two three four five six ", "so it is told in the old book of the rope and the seed and no more of it is known to any"]
+    pieces = X._Pieces()
+    ids, text = pieces.number(texts)
+    for a, b in zip(X._shingles(*pieces.word_hashes(ids, text)), X._shingle_hashes(texts, False, X._Words()), strict=True):
+        assert a.tolist() == b.tolist()
+    bitmap = X.np.zeros(X.BITS >> 3, X.np.uint8)
+    assert not sum(len(at) for _, at, *_ in pieces.runs(ids, text, bitmap))
+    # of all runs only those are built that begin as an asked one does
+    begin = next(h[at == (ids == pieces.ids["told"]).argmax()] for _, at, h, _ in pieces.runs(ids, text))
+    k = int(begin[0]) & (X.BITS - 1)
+    bitmap[k >> 3] |= 1 << (k & 7)
+    every = {(n, i, x) for n, at, _, h in pieces.runs(ids, text) for i, x in zip(at.tolist(), h.tolist(), strict=True)}
+    asked = {(n, i, x) for n, at, _, h in pieces.runs(ids, text, bitmap) for i, x in zip(at.tolist(), h.tolist(), strict=True)}
+    assert asked < every and {i for _, i, _ in asked} == {(ids == pieces.ids["told"]).argmax()}
+    assert asked == {x for x in every if x[1] in {i for _, i, _ in asked}} and len(asked) > 10
